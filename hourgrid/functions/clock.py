@@ -7,8 +7,9 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the raw feeds' timestamp format, yyyy-MM-dd HH:mm:ss.
-TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+# The raw feeds' formats, yyyy-MM-dd HH:mm:ss and yyyy-MM-dd. Day and
+# month ranges are left to the cast.
+TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2} ([01]\d|2[0-3]):[0-5]\d:[0-5]\d$"
 DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
 
 
@@ -31,13 +32,15 @@ def parse_date(text: Column | str) -> Column:
     return F.when(text.rlike(DATE_SHAPE), text.try_cast("date"))
 
 
-def hour_start(ts: Column | str) -> Column:
-    """Truncate to the hour without leaving NTZ."""
-    ts = _col(ts)
-    zero = F.lit(0)
-    return F.make_timestamp_ntz(
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), zero, zero
-    )
+def parse_hour(text: Column | str) -> Column:
+    """Text to the start of its hour; malformed text gives NULL.
+
+    Cutting the text before the cast truncates and parses in one step, which is
+    what every raw row pays for.
+    """
+    text = _col(text)
+    start = F.concat(F.substring(text, 1, 13), F.lit(":00:00"))
+    return F.when(text.rlike(TIMESTAMP_SHAPE), start.try_cast("timestamp_ntz"))
 
 
 def hour_index(ts: Column | str) -> Column:

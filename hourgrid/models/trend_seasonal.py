@@ -22,13 +22,13 @@ from operator import add
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.config import TrendSeasonalParams
 from hourgrid.functions.clock import hour_index
 from hourgrid.functions.numeric import or_zero
+from hourgrid.models import ridge
 from hourgrid.schemas import FORECAST_COLUMNS
 
 # Published defaults of the additive model. Season = period in
@@ -41,16 +41,6 @@ SEASONS = {
 TREND_PRIOR_SCALE = 5.0
 
 BLOCK_HOURS = 4_096
-SOLVER_ROUNDS = 5
-
-COEFFICIENT_SCHEMA = (
-    "building_id string, coefficients array<double>, sigma double, n_obs bigint"
-)
-_PARTIAL_SCHEMA = (
-    "building_id string, cross array<double>, n_obs bigint,"
-    " first_hour bigint, last_hour bigint"
-)
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -98,14 +88,14 @@ class Layout:
             [2, len(self.changepoints), waves, len(self.regressors)],
         )
 
-    def enough_history(self, params: TrendSeasonalParams, hours: int) -> np.ndarray:
-        """Which columns a building with ``hours`` of history may use."""
-        usable = [True] * (2 + len(self.changepoints))
+    def hours_needed(self, params: TrendSeasonalParams) -> np.ndarray:
+        """History a building must have before each column takes part."""
+        needed = [0] * (2 + len(self.changepoints))
         for season in self.seasons:
-            _, order, needed = SEASONS[season]
+            _, order, minimum = SEASONS[season]
             auto = getattr(params, f"{season}_seasonality") == "auto"
-            usable += [not auto or hours >= needed] * (2 * order)
-        return np.array(usable + [True] * len(self.regressors))
+            needed += [minimum if auto else 0] * (2 * order)
+        return np.array(needed + [0] * len(self.regressors))
 
 
 @dataclass(frozen=True)
@@ -195,74 +185,15 @@ def fit_trend_seasonal(
         F.array(*layout.columns(), F.col("_y")).alias("_row"),
     )
     partial = design.groupBy("building_id", "_block").applyInPandas(
-        _cross_products, _PARTIAL_SCHEMA
+        ridge.cross_products, ridge.PARTIAL_SCHEMA
     )
+    solve = ridge.solver(layout.prior_scales(params), layout.hours_needed(params))
     coefficients = partial.groupBy("building_id").applyInPandas(
-        _solver(layout, params), COEFFICIENT_SCHEMA
+        solve, ridge.COEFFICIENT_SCHEMA
     )
     return TrendSeasonalModel(coefficients, layout)
 
 
-def _cross_products(block: pd.DataFrame) -> pd.DataFrame:
-    rows = np.vstack(block["_row"].to_numpy())
-    return pd.DataFrame(
-        {
-            "building_id": block["building_id"].iloc[:1],
-            "cross": [(rows.T @ rows).ravel()],
-            "n_obs": [len(rows)],
-            "first_hour": [block["_hour"].min()],
-            "last_hour": [block["_hour"].max()],
-        }
-    )
-
-
-def _solver(layout: Layout, params: TrendSeasonalParams):
-    scales = layout.prior_scales(params)
-
-    def solve(partials: pd.DataFrame) -> pd.DataFrame:
-        side = len(scales) + 1
-        cross = np.sum(np.vstack(partials["cross"].to_numpy()), axis=0)
-        cross = cross.reshape(side, side)
-        n = int(partials["n_obs"].sum())
-        hours = int(partials["last_hour"].max() - partials["first_hour"].min())
-        usable = layout.enough_history(params, hours)
-        beta, sigma = ridge(cross, n, scales, usable)
-        return pd.DataFrame(
-            {
-                "building_id": partials["building_id"].iloc[:1],
-                "coefficients": [beta],
-                "sigma": [sigma],
-                "n_obs": [n],
-            }
-        )
-
-    return solve
-
-
-def ridge(
-    cross: np.ndarray, n: int, scales: np.ndarray, usable: np.ndarray
-) -> tuple[np.ndarray, float]:
-    """Coefficients and residual spread from the cross-products of [X, y].
-
-    The penalty of a column is noise variance / prior variance, with the target
-    scaled to unit size; the noise variance is re-estimated from the residuals.
-    """
-    unit = np.ones(len(cross))
-    unit[-1] = np.sqrt(cross[-1, -1] / n) or 1.0
-    scaled = cross / np.outer(unit, unit)
-    keep = np.flatnonzero(usable)
-    gram, moment, power = scaled[np.ix_(keep, keep)], scaled[keep, -1], scaled[-1, -1]
-    noise, beta = 1.0, np.zeros(len(keep))
-    for _ in range(SOLVER_ROUNDS):
-        penalty = np.diag(noise / scales[keep] ** 2)
-        beta = np.linalg.lstsq(gram + penalty, moment, rcond=None)[0]
-        rss = power - 2 * beta @ moment + beta @ gram @ beta
-        noise = max(rss / n, 1e-12)
-    full = np.zeros(len(scales))
-    full[keep] = beta * unit[-1]
-    return full, float(np.sqrt(noise) * unit[-1])
-
-
 def linear_trend(
     panel: DataFrame, origin_hour: int, target: str = "consumption_kwh"
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.functions.clock import hour_start, parse_date, parse_timestamp
+from hourgrid.functions.clock import parse_date, parse_hour
 from hourgrid.functions.numeric import as_flag
 
 PANEL_KEY = ("building_id", "timestamp_hour")
@@ -22,9 +22,9 @@ def between_dates(raw: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def _hourly(raw: DataFrame, *aggregates: Column) -> DataFrame:
-    hour = hour_start(parse_timestamp("timestamp_str"))
     # Grouping by the final join key lets the panel joins reuse this shuffle.
-    return raw.groupBy("building_id", hour.alias("timestamp_hour")).agg(*aggregates)
+    hour = parse_hour("timestamp_str").alias("timestamp_hour")
+    return raw.groupBy("building_id", hour).agg(*aggregates)
 
 
 def hourly_consumption(raw: DataFrame) -> DataFrame:

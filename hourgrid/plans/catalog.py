@@ -349,7 +349,10 @@ def forecast_gbt(spark: SparkSession, folder: str) -> DataFrame:
     labelled = feature_ops.training_features(
         _panel(spark, folder), TRAIN_START, TRAIN_END, SPLIT, columns=columns
     )
-    train, _ = feature_ops.train_eval_split(labelled)
+    # Boosting passes over its input many times: store it once, as training does.
+    path = scratch_path(spark, "features")
+    writers.write_feature_sets(labelled, path)
+    train = readers.read_features(spark, f"{path}/split=train")
     model = fit_forecaster("XGBoost", train, TREE_INPUTS, TREE_SETTINGS)
     return model.forecast(_inference_features(spark, folder))
 

@@ -11,6 +11,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+    " value double, props string"
+)
+ORDERS_SCHEMA = (
+    "o_orderkey bigint, o_orderstatus string, o_orderdate timestamp_ntz,"
+    " o_orderpriority string"
+)
+
 # How event types and users map to feeds and buildings.
 CONSUMPTION_TYPES = ("click", "view", "purchase")
 SOLAR_TYPE = "signup"
@@ -27,7 +36,7 @@ class RawFeeds:
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
 def _building() -> Column:
@@ -100,7 +109,8 @@ def raw_weather_forecast(spark: SparkSession, folder: str) -> DataFrame:
 
 def registry_from_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as registry entries: priority = group, status F = approved."""
-    return spark.read.parquet(f"{folder}/orders.parquet").select(
+    orders = spark.read.schema(ORDERS_SCHEMA).parquet(f"{folder}/orders.parquet")
+    return orders.select(
         F.col("o_orderkey").alias("model_package_id"),
         F.col("o_orderpriority").alias("model_package_group"),
         F.when(F.col("o_orderstatus") == "F", "Approved")
