@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,14 +25,14 @@ FRAME_COLUMNS = (
 )
 
 
+def lookback_range(start: str, lookback_days: int) -> tuple[date, date]:
+    """First and last of the days before ``start`` that feed the lags."""
+    first = as_datetime(start).date()
+    return first - timedelta(days=lookback_days), first - timedelta(days=1)
+
+
 def lookback(panel: DataFrame, start: str, lookback_days: int) -> DataFrame:
-    """The days before ``start`` that feed the lags."""
-    first = as_datetime(start)
-    return panel_range(
-        panel,
-        first - timedelta(days=lookback_days),
-        first - timedelta(days=1),
-    )
+    return panel_range(panel, *lookback_range(start, lookback_days))
 
 
 def hourly_weather_forecast(

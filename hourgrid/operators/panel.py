@@ -58,21 +58,12 @@ def build_panel(
 
 
 def panel_range(panel: DataFrame, start: str | date, end: str | date) -> DataFrame:
-    """Hours of the days ``start`` to ``end``, both inclusive.
-
-    Where the panel carries its partition columns, the same bounds are repeated on
-    them so the scan lists only those days.
-    """
-    first, last = as_datetime(start), as_datetime(end)
-    hours = panel.where(
-        (F.col("timestamp_hour") >= moment(first))
-        & (F.col("timestamp_hour") < moment(last + timedelta(days=1)))
+    """Hours of the days ``start`` to ``end``, both inclusive."""
+    after_last = as_datetime(end) + timedelta(days=1)
+    return panel.where(
+        (F.col("timestamp_hour") >= moment(start))
+        & (F.col("timestamp_hour") < moment(after_last))
     )
-    if set(PANEL_PARTITIONS) <= set(panel.columns):
-        day = F.make_date("year", "month", "day")
-        bounds = (F.lit(bound.date().isoformat()).cast("date") for bound in (first, last))
-        hours = hours.where(day.between(*bounds))
-    return hours
 
 
 def span_hours(start: str | date, end: str | date) -> int:

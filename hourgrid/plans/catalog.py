@@ -108,8 +108,7 @@ def panel_range(spark: SparkSession, folder: str) -> DataFrame:
 def panel_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "panel")
     writers.write_panel(_panel(spark, folder), path)
-    stored = readers.read_panel(spark, path)
-    return _rounded(panel_between(stored, RANGE_START, RANGE_END))
+    return _rounded(readers.read_panel(spark, path, RANGE_START, RANGE_END))
 
 
 # --- Features -----------------------------------------------------------------

@@ -32,7 +32,7 @@ from hourgrid.models.store import (
 )
 from hourgrid.operators import features as feature_ops
 from hourgrid.operators import horizon, metrics, publish, registry
-from hourgrid.operators.panel import build_panel, panel_range
+from hourgrid.operators.panel import build_panel
 from hourgrid.operators.rollup import calendar_daily
 from hourgrid.sources import readers, writers
 
@@ -93,8 +93,8 @@ def calculate_features(
     columns: Sequence[str] = TRAINING_COLUMNS,
 ) -> tuple[DataFrame, DataFrame] | tuple[None, None]:
     """Train and evaluation features, or (None, None) without panel rows."""
-    panel = readers.read_panel(spark, panel_path)
-    if panel_range(panel, start, end).isEmpty():
+    panel = readers.read_panel(spark, panel_path, start, end)
+    if panel.isEmpty():
         logger.error("No panel rows for %s to %s", start, end)
         return None, None
     labelled = feature_ops.training_features(panel, start, end, split, spec, columns)
@@ -112,7 +112,7 @@ def run_feature_engineering(
     columns: Sequence[str] = TRAINING_COLUMNS,
 ) -> int:
     """Write both feature sets below ``output_path`` in one job."""
-    panel = readers.read_panel(spark, panel_path)
+    panel = readers.read_panel(spark, panel_path, start, end)
     labelled = feature_ops.training_features(panel, start, end, split, spec, columns)
     return writers.write_feature_sets(labelled, output_path)
 
@@ -221,8 +221,8 @@ def calculate_inference_features(
     keep_null: bool = False,
 ) -> DataFrame | None:
     """Horizon features, or None without history or without forecast weather."""
-    panel = readers.read_panel(spark, panel_path)
-    history = horizon.lookback(panel, start, lookback_days)
+    days = horizon.lookback_range(start, lookback_days)
+    history = readers.read_panel(spark, panel_path, *days)
     if history.isEmpty():
         logger.error("No panel rows in the %d days before %s", lookback_days, start)
         return None

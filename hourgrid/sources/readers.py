@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourgrid import schemas
-from hourgrid.functions.clock import parse_timestamp
+from hourgrid.functions.clock import as_datetime, parse_timestamp
 from hourgrid.operators.rollup import between_dates
+from hourgrid.schemas import PANEL_PARTITIONS
 
 # File suffixes a forecast folder may hold.
 PARQUET_SUFFIXES = (".parquet",)
@@ -52,9 +55,19 @@ def _hours_as_ntz(frame: DataFrame) -> DataFrame:
     return frame.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
 
 
-def read_panel(spark: SparkSession, path: str) -> DataFrame:
-    """The partitioned panel; combine with ``panel_range`` to prune days."""
-    return _hours_as_ntz(spark.read.parquet(path))
+def read_panel(
+    spark: SparkSession, path: str, start: str | date, end: str | date
+) -> DataFrame:
+    """The stored panel's rows of the days ``start`` to ``end``, both inclusive.
+
+    The bounds are put on the partition columns, so only those days are listed and
+    read; a predicate on the hour alone would scan the whole table.
+    """
+    first, last = (
+        F.lit(as_datetime(bound).date().isoformat()).cast("date") for bound in (start, end)
+    )
+    day = F.make_date(*PANEL_PARTITIONS)
+    return _hours_as_ntz(spark.read.parquet(path)).where(day.between(first, last))
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
