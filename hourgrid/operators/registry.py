@@ -57,7 +57,9 @@ def registry_rows(
             for name in METRICS
             for part in (
                 F.lit(f"Evaluation_{name}"),
-                F.coalesce(F.format_string("%.6f", F.col(name)), F.lit("None")),
+                F.when(F.col(name).isNull(), "None").otherwise(
+                    F.format_string("%.6f", F.col(name))
+                ),
             )
         ],
         F.lit("EvaluationStatus"),

@@ -75,7 +75,7 @@ def write_measures(long: DataFrame, path: str) -> int:
 
 
 def write_evaluation_report(report: DataFrame, path: str) -> None:
-    report.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    report.write.mode("overwrite").json(path)
 
 
 def append_registry(entries: DataFrame, path: str) -> int:
