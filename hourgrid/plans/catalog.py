@@ -37,7 +37,7 @@ TREND_ORIGIN = "2024-01-01"
 SERVED_BUILDING = "B1"
 TIE_NUDGE = 2.5e-10
 REGISTRY_RUN = {
-    "group": "BuildingDemand",
+    "group": "demand-forecaster",
     "run_id": "run-1",
     "created_at": "2024-02-01",
     "commit": "abc123",

@@ -131,7 +131,8 @@ def run_training(
         raise ValueError("Training feature DataFrame is empty.")
     fitted = fit_forecaster(strategy, train, feature_columns, hyperparameters, target)
     fitted.save(spark, model_path)
-    return fitted
+    # The stored model: what a fresh fit computes lazily is only read from here on.
+    return load_forecaster(spark, model_path)
 
 
 # --- Evaluation ---------------------------------------------------------------

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.schemas import PANEL_COLUMNS, PANEL_PARTITIONS
@@ -74,6 +76,15 @@ def write_measures(long: DataFrame, path: str) -> int:
     )
 
 
+def send_measures(long: DataFrame, send: Callable[[Iterator[Row]], None]) -> None:
+    """Hand each partition's rows to ``send``, for a store Spark cannot write to.
+
+    ``send`` runs on the executors and should batch its requests; a lost executor
+    repeats a partition, so the store must accept the same row twice.
+    """
+    long.foreachPartition(send)
+
+
 def write_evaluation_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
 

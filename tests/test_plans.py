@@ -82,6 +82,15 @@ def test_days_are_pruned_in_the_stored_panel(spark, tmp_path):
     assert re.search(r"ReadSchema: struct<humidity:double>", plan)
 
 
+def test_writes_gather_days_into_full_files(spark, tmp_path):
+    path = str(tmp_path / "panel")
+    panel = with_date_parts(training_panel(spark, 3)).repartition(16)
+    writers.write_panel(panel, path)
+    assert len(list((tmp_path / "panel").rglob("*.parquet"))) == 3
+    hinted = panel.hint("rebalance", "year", "month", "day")
+    assert "REBALANCE_PARTITIONS_BY_COL" in _plan(hinted)
+
+
 def test_fit_shuffles_narrow_rows_once_and_partial_results_once(spark):
     model = fit_trend_seasonal(training_panel(spark))
     plan = _plan(model.coefficients)

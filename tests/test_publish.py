@@ -54,6 +54,22 @@ def test_stored_measures_serve_one_building_and_day(spark, forecasts, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
+def test_rows_can_go_to_another_store(forecasts, tmp_path):
+    folder = str(tmp_path)
+
+    def send(rows):
+        import uuid
+        from pathlib import Path
+
+        lines = [f"{r.dim_building_id},{r.measure_name}\n" for r in rows]
+        if lines:
+            Path(folder, uuid.uuid4().hex).write_text("".join(lines))
+
+    writers.send_measures(publish.forecast_long(forecasts), send)
+    sent = "".join(f.read_text() for f in tmp_path.iterdir()).splitlines()
+    assert len(sent) == 9
+
+
 def test_latest_hour(forecasts):
     (row,) = publish.latest_hour(forecasts).collect()
     assert row.timestamp_hour == datetime(2024, 3, 12, 0)
