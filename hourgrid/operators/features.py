@@ -6,7 +6,11 @@ apart.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
+from itertools import zip_longest
+from operator import add
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -21,14 +25,29 @@ from hourgrid.functions.clock import calendar_part, moment
 from hourgrid.operators.panel import panel_range, span_hours
 from hourgrid.operators.windows import WindowColumn, trailing_columns
 
+DAY = 24
 _AGGREGATES = {
     "avg": F.avg,
     "stddev": F.stddev_samp,
     "min": F.min,
     "max": F.max,
+    "sum": F.sum,
+    "count": F.count,
+    "mean": F.avg,
+    "var_pop": F.var_pop,
 }
 
 
+@dataclass(frozen=True)
+class WindowFeature:
+    """A feature as window columns in up to two passes, and steps combining them."""
+
+    reach: int
+    first: Mapping[str, WindowColumn]
+    second: Mapping[str, WindowColumn] = field(default_factory=dict)
+    combine: Sequence[Callable[[], dict[str, Column]]] = ()
+
+
 def _lag(column: str, hours: int, mode: str) -> WindowColumn:
     def over(window: WindowSpec) -> Column:
         if mode == "rows":
@@ -39,7 +58,7 @@ def _lag(column: str, hours: int, mode: str) -> WindowColumn:
     return over
 
 
-def _rolling(column: str, hours: int, agg: str, mode: str) -> WindowColumn:
+def _trailing(column: str, hours: int, agg: str, mode: str) -> WindowColumn:
     def over(window: WindowSpec) -> Column:
         frame = window.rowsBetween if mode == "rows" else window.rangeBetween
         return _AGGREGATES[agg](column).over(frame(1 - hours, 0))
@@ -47,22 +66,89 @@ def _rolling(column: str, hours: int, agg: str, mode: str) -> WindowColumn:
     return over
 
 
-def window_features(spec: FeatureSpec) -> dict[str, tuple[int, WindowColumn]]:
-    """Every lag and rolling feature of the spec: name -> (reach, expression)."""
-    features: dict[str, tuple[int, WindowColumn]] = {}
+# Per aggregate, the parts of a day that an aggregate over several days needs.
+_DAY_PARTS = {
+    "avg": ("sum", "count"),
+    "stddev": ("sum", "count", "mean", "var_pop"),
+    "min": ("min",),
+    "max": ("max",),
+}
+
+
+def _rolling_days(name: str, column: str, rows: int, agg: str) -> WindowFeature:
+    """A window of whole days, combined from trailing days.
+
+    A sliding frame is re-aggregated for every row, so a week costs 168 steps per
+    row. One frame of 24 rows plus six look-backs to it gives the same result.
+    """
+    parts = {part: f"_{column}_{part}_day" for part in _DAY_PARTS[agg]}
+    lags = range(DAY, rows, DAY)
+    n, mean = f"_{column}_n_{rows}", f"_{column}_mean_{rows}"
+
+    def days(part: str) -> list[Column]:
+        return [F.col(parts[part]), *[F.col(f"{parts[part]}_{k}") for k in lags]]
+
+    def total(columns: list[Column]) -> Column:
+        return reduce(add, [F.coalesce(c, F.lit(0)) for c in columns])
+
+    def extreme() -> dict[str, Column]:
+        return {name: (F.least if agg == "min" else F.greatest)(*days(agg))}
+
+    def count() -> dict[str, Column]:
+        return {n: total(days("count"))}
+
+    def average() -> dict[str, Column]:
+        column_name = name if agg == "avg" else mean
+        return {column_name: F.when(F.col(n) > 0, total(days("sum")) / F.col(n))}
+
+    def spread() -> dict[str, Column]:
+        # Within the days plus between their means: nothing cancels.
+        offsets = [F.col(f"{parts['mean']}_{k}") for k in lags]
+        squares = total(
+            [
+                rows_of_day * (var + (day - F.col(mean)) * (day - F.col(mean)))
+                for day, rows_of_day, var in zip(
+                    [F.col(parts["mean"]), *offsets], days("count"), days("var_pop")
+                )
+            ]
+        )
+        return {name: F.when(F.col(n) > 1, F.sqrt(squares / (F.col(n) - 1)))}
+
+    steps = {
+        "avg": (count, average),
+        "stddev": (count, average, spread),
+        "min": (extreme,),
+        "max": (extreme,),
+    }
+    return WindowFeature(
+        rows - 1,
+        {made: _trailing(column, DAY, part, "rows") for part, made in parts.items()},
+        {f"{made}_{k}": _lag(made, k, "rows") for made in parts.values() for k in lags},
+        steps[agg],
+    )
+
+
+def window_features(spec: FeatureSpec) -> dict[str, WindowFeature]:
+    """Every lag and rolling feature of the spec."""
+    features: dict[str, WindowFeature] = {}
     for column, lags in spec.lags.items():
         for hours in lags:
-            features[lag_name(column, hours)] = (hours, _lag(column, hours, spec.mode))
+            name = lag_name(column, hours)
+            features[name] = WindowFeature(hours, {name: _lag(column, hours, spec.mode)})
     for column, rolling in spec.rolling.items():
         for hours in rolling.windows:
             for agg in rolling.aggs:
-                make = _rolling(column, hours, agg, spec.mode)
-                features[rolling_name(column, hours, agg)] = (hours - 1, make)
+                name = rolling_name(column, hours, agg)
+                if spec.mode == "rows" and hours > 2 * DAY and hours % DAY == 0:
+                    features[name] = _rolling_days(name, column, hours, agg)
+                    continue
+                make = _trailing(column, hours, agg, spec.mode)
+                features[name] = WindowFeature(hours - 1, {name: make})
     return features
 
 
 def add_calendar_features(
-    panel: DataFrame, spec: FeatureSpec, wanted: Sequence[str] | None = None
+    panel: DataFrame, spec: FeatureSpec, wanted: Collection[str] | None = None
 ) -> DataFrame:
     names = [n for n in spec.time_features if wanted is None or n in wanted]
     return panel.withColumns({n: calendar_part(n, spec.time) for n in names})
@@ -71,8 +157,9 @@ def add_calendar_features(
 def add_window_features(
     panel: DataFrame,
     spec: FeatureSpec,
-    wanted: Sequence[str] | None = None,
+    wanted: Collection[str] | None = None,
     hours_per_key: int | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Add the wanted lag and rolling columns (all of the spec by default)."""
     chosen = {
@@ -80,19 +167,31 @@ def add_window_features(
         for name, feature in window_features(spec).items()
         if wanted is None or name in wanted
     }
-    return trailing_columns(
+    first: dict[str, WindowColumn] = {}
+    second: dict[str, WindowColumn] = {}
+    for feature in chosen.values():
+        first.update(feature.first)
+        second.update(feature.second)
+    windowed = trailing_columns(
         panel,
-        {name: make for name, (_, make) in chosen.items()},
-        reach=max((reach for reach, _ in chosen.values()), default=0),
+        [first, second],
+        reach=max((feature.reach for feature in chosen.values()), default=0),
         mode=spec.mode,
         key=spec.key,
         time=spec.time,
         span_hours=hours_per_key,
+        block_rows=block_rows,
     )
+    for steps in zip_longest(*[feature.combine for feature in chosen.values()]):
+        columns: dict[str, Column] = {}
+        for step in filter(None, steps):
+            columns.update(step())
+        windowed = windowed.withColumns(columns)
+    return windowed.select(*panel.columns, *chosen)
 
 
 def add_interactions(
-    features: DataFrame, spec: FeatureSpec, wanted: Sequence[str] | None = None
+    features: DataFrame, spec: FeatureSpec, wanted: Collection[str] | None = None
 ) -> DataFrame:
     return features.withColumns(
         {

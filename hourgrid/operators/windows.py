@@ -14,7 +14,7 @@ the panel has one row per building and hour, which bounds the group.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ BLOCK_ROWS = 4_096
 
 def trailing_columns(
     panel: DataFrame,
-    columns: Mapping[str, WindowColumn],
+    passes: Sequence[Mapping[str, WindowColumn]],
     *,
     reach: int,
     mode: str,
@@ -39,26 +39,33 @@ def trailing_columns(
     span_hours: int | None = None,
     block_rows: int | None = None,
 ) -> DataFrame:
-    """Add window columns that look back at most ``reach`` rows (or hours)."""
-    if not columns:
+    """Add window columns that look back at most ``reach`` rows (or hours).
+
+    Each pass may use the columns of the passes before it; all share one layout, so
+    a further pass costs neither a shuffle nor a sort.
+    """
+    if not any(passes):
         return panel
     block_rows = block_rows or max(BLOCK_ROWS, 16 * reach)
     if reach > block_rows:
         raise ValueError("A block must be at least as long as the reach")
     if mode == "rows" and span_hours is not None and span_hours <= UNDIVIDED_ROWS:
-        window = Window.partitionBy(key).orderBy(time)
-        return panel.withColumns({name: make(window) for name, make in columns.items()})
+        return _add(panel, passes, Window.partitionBy(key).orderBy(time))
     if mode == "hours":
         placed = panel.withColumn("_at", hour_index(time))
     else:
         placed = _with_row_position(panel, key, time, block_rows)
     window = Window.partitionBy(key, "_block").orderBy("_at")
-    return (
-        _lend_block_tails(placed, reach, block_rows)
-        .withColumns({name: make(window) for name, make in columns.items()})
-        .where("_own")
-        .drop("_at", "_block", "_own")
-    )
+    windowed = _add(_lend_block_tails(placed, reach, block_rows), passes, window)
+    return windowed.where("_own").drop("_at", "_block", "_own")
+
+
+def _add(
+    frame: DataFrame, passes: Sequence[Mapping[str, WindowColumn]], window: WindowSpec
+) -> DataFrame:
+    for columns in passes:
+        frame = frame.withColumns({name: make(window) for name, make in columns.items()})
+    return frame
 
 
 def _lend_block_tails(placed: DataFrame, reach: int, block_rows: int) -> DataFrame:

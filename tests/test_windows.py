@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from hourgrid.config import FeatureSpec, Rolling
 from hourgrid.operators import features
-from hourgrid.operators.windows import trailing_columns
 
 SCHEMA = "building_id string, timestamp_hour timestamp_ntz, consumption_kwh double"
 LAGS = (1, 5)
@@ -74,12 +73,8 @@ def test_blocks_equal_brute_force(spark, mode, block_rows):
         rolling={"consumption_kwh": Rolling(ROLL, ("avg", "stddev", "min", "max"))},
     )
     made = features.window_features(spec)
-    result = trailing_columns(
-        spark.createDataFrame(rows, SCHEMA),
-        {name: make for name, (_, make) in made.items()},
-        reach=max(reach for reach, _ in made.values()),
-        mode=mode,
-        block_rows=block_rows,
+    result = features.add_window_features(
+        spark.createDataFrame(rows, SCHEMA), spec, block_rows=block_rows
     )
     expected = _expected(rows, mode)
     collected = result.collect()
@@ -90,6 +85,34 @@ def test_blocks_equal_brute_force(spark, mode, block_rows):
         assert values == [v if v is None else pytest.approx(v) for v in wanted]
 
 
+@pytest.mark.parametrize("hours_per_key", [None, 8784])
+def test_windows_of_several_days_equal_brute_force(spark, hours_per_key, monkeypatch):
+    monkeypatch.setitem(globals(), "LAGS", (1, 5))
+    monkeypatch.setitem(globals(), "ROLL", (72, 168))
+    rows = _gappy_rows(seed=3)
+    # A long constant stretch far from zero: its spread must still be zero.
+    start = datetime(2025, 1, 1)
+    rows += [("flat", start + timedelta(hours=h), 12345.67) for h in range(400)]
+    spec = FeatureSpec(
+        lags={"consumption_kwh": LAGS},
+        rolling={"consumption_kwh": Rolling(ROLL, ("avg", "stddev", "min", "max"))},
+    )
+    made = features.window_features(spec)
+    assert made["consumption_roll_std_168h"].combine
+    result = features.add_window_features(
+        spark.createDataFrame(rows, SCHEMA), spec, None, hours_per_key, 200
+    ).collect()
+    expected = _expected(rows, "rows")
+    assert len(result) == len(rows)
+    for row in result:
+        wanted = expected[row.building_id, row.timestamp_hour]
+        values = [row[name] for name in made]
+        near = [v if v is None else pytest.approx(v, abs=1e-9) for v in wanted]
+        assert values == near
+    flat = [r.consumption_roll_std_168h for r in result if r.building_id == "flat"]
+    assert max(v for v in flat if v is not None) < 1e-9
+
+
 def test_undivided_and_blocked_layouts_agree(spark):
     panel = training_panel(spark)
     spec = FeatureSpec()
