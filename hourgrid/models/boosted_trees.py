@@ -26,12 +26,12 @@ class BoostedTreeModel:
     pipeline: PipelineModel
     feature_columns: tuple[str, ...]
 
-    def forecast(self, features: DataFrame) -> DataFrame:
-        """The five forecast columns; the bounds equal the point value."""
+    def forecast(self, features: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """The five forecast columns (bounds equal the point value), and ``keep``."""
         rows = _numeric(features, self.feature_columns)
         scored = self.pipeline.transform(rows)
         bounds = {"yhat_lower": F.col("yhat"), "yhat_upper": F.col("yhat")}
-        return scored.withColumns(bounds).select(*FORECAST_COLUMNS)
+        return scored.withColumns(bounds).select(*FORECAST_COLUMNS, *keep)
 
 
 def fit_boosted_trees(

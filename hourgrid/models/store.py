@@ -37,8 +37,8 @@ class Forecaster:
     feature_columns: tuple[str, ...]
     target_column: str
 
-    def forecast(self, features: DataFrame) -> DataFrame:
-        return self.model.forecast(features)
+    def forecast(self, features: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        return self.model.forecast(features, keep)
 
     def save(self, spark: SparkSession, path: str) -> None:
         layout = None

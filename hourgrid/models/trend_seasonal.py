@@ -103,10 +103,11 @@ class TrendSeasonalModel:
     coefficients: DataFrame
     layout: Layout
 
-    def forecast(self, features: DataFrame) -> DataFrame:
+    def forecast(self, features: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """The five forecast columns; a building without a model gets NULLs.
 
-        ``features`` needs the key columns and the model's regressors.
+        ``features`` needs the key columns and the model's regressors; its columns
+        in ``keep`` are passed on.
         """
         beta = F.col("coefficients")
         terms = [
@@ -125,7 +126,7 @@ class TrendSeasonalModel:
                 "yhat_lower": F.col("yhat") - spread,
                 "yhat_upper": F.col("yhat") + spread,
             }
-        ).select(*FORECAST_COLUMNS)
+        ).select(*FORECAST_COLUMNS, *keep)
 
 
 def plan_layout(

@@ -236,7 +236,7 @@ def training_features(
     The split follows the windows, so evaluation lags may use training hours.
     """
     spec = spec or FeatureSpec()
-    history = panel_range(panel, start, end)
+    history = panel_range(panel, start, end, spec.time)
     features = feature_table(history, spec, columns, span_hours(start, end))
     is_train = F.col(spec.time) < moment(split)
     return features.dropna(how="any").withColumn(

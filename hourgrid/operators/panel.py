@@ -57,12 +57,13 @@ def build_panel(
     return with_date_parts(flagged).select(*PANEL_COLUMNS, *PANEL_PARTITIONS)
 
 
-def panel_range(panel: DataFrame, start: str | date, end: str | date) -> DataFrame:
+def panel_range(
+    panel: DataFrame, start: str | date, end: str | date, time: str = "timestamp_hour"
+) -> DataFrame:
     """Hours of the days ``start`` to ``end``, both inclusive."""
     after_last = as_datetime(end) + timedelta(days=1)
     return panel.where(
-        (F.col("timestamp_hour") >= moment(start))
-        & (F.col("timestamp_hour") < moment(after_last))
+        (F.col(time) >= moment(start)) & (F.col(time) < moment(after_last))
     )
 
 

@@ -139,9 +139,13 @@ def run_training(
 
 
 def score_evaluation(model: Forecaster, evaluation: DataFrame) -> DataFrame:
-    """Actual and predicted value per evaluated hour."""
-    predictions = model.forecast(evaluation)
-    return metrics.match_actuals(evaluation, predictions, model.target_column)
+    """Actual and predicted value per evaluated hour.
+
+    The evaluation rows already hold the actual, so it rides along with the scoring
+    instead of being joined back; ``metrics.match_actuals`` is for forecasts that
+    come from elsewhere.
+    """
+    return model.forecast(evaluation, keep=[model.target_column])
 
 
 def run_evaluation(

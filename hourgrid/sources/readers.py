@@ -70,9 +70,16 @@ def read_panel(
     return _hours_as_ntz(spark.read.parquet(path)).where(day.between(first, last))
 
 
-def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """Every Parquet file below ``path`` as one frame, columns matched by name."""
-    files = spark.read.option("mergeSchema", "true").option("pathGlobFilter", "*.parquet")
+def read_features(
+    spark: SparkSession, path: str, merge_schema: bool = False
+) -> DataFrame:
+    """Every Parquet file below ``path`` as one frame, columns matched by name.
+
+    ``merge_schema`` is for folders whose files differ in columns; it reads the
+    footer of every file.
+    """
+    merge = "true" if merge_schema else "false"
+    files = spark.read.option("mergeSchema", merge).option("pathGlobFilter", "*.parquet")
     try:
         return _hours_as_ntz(files.parquet(path))
     except AnalysisException as error:
@@ -134,6 +141,5 @@ def read_forecasts(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"Unsupported file type for forecast data: {odd.path}")
     return (
         _forecast_parquet(spark, path, "*.parquet")
-        .unionByName(_forecast_csv(spark, path, "*.csv"), allowMissingColumns=True)
-        .unionByName(_forecast_csv(spark, path, "*.out"), allowMissingColumns=True)
+        .unionByName(_forecast_csv(spark, path, "*.{csv,out}"), allowMissingColumns=True)
     )

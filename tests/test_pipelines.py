@@ -266,6 +266,15 @@ def test_empty_or_missing_training_data_is_an_error(spark, tmp_path):
         )
 
 
+def test_feature_files_with_different_columns(spark, tmp_path):
+    path = str(tmp_path / "features")
+    spark.range(2).selectExpr("id", "1.0D a").write.parquet(path)
+    spark.range(3).selectExpr("2.0D b", "id").write.mode("append").parquet(path)
+    merged = readers.read_features(spark, path, merge_schema=True)
+    assert set(merged.columns) == {"id", "a", "b"}
+    assert merged.agg(F.count("a"), F.count("b")).first()[:] == (2, 3)
+
+
 def test_unknown_publish_target_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError, match="Unsupported publish target"):
         pipelines.run_publish(spark, str(tmp_path), str(tmp_path / "out"), "RDS")
