@@ -85,31 +85,34 @@ def _with_row_position(
     """Number a building's rows in time order, ``_at`` = 0, 1, 2, ...
 
     Row counts per chunk are partially aggregated; their running total orders a
-    few chunks per building, not its rows.
+    few chunks per building, not its rows. ``_series`` and ``_chunk`` are never
+    NULL, so the join is a plain equality on the keys the rows are already
+    partitioned by, and only the counts move.
     """
+    name = F.col(key).cast("string")
+    series = F.when(name.isNull(), "-").otherwise(F.concat(F.lit("+"), name))
     chunk = F.floor(hour_index(time) / F.lit(chunk_hours)).cast("bigint")
-    chunked = panel.withColumn("_chunk", chunk)
+    # Rows without a time sort first, as they do in an undivided window.
+    first = F.lit(-(2**62)).cast("bigint")
+    chunked = panel.withColumns({"_series": series, "_chunk": F.coalesce(chunk, first)})
+    within = Window.partitionBy("_series", "_chunk").orderBy(time)
     earlier = (
-        Window.partitionBy(key)
+        Window.partitionBy("_series")
         .orderBy("_chunk")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = (
-        chunked.groupBy(key, "_chunk")
+        chunked.groupBy("_series", "_chunk")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(
-            F.col(key).alias("_key"),
-            F.col("_chunk").alias("_of"),
+            "_series",
+            "_chunk",
             F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
         )
     )
-    within = F.row_number().over(Window.partitionBy(key, "_chunk").orderBy(time))
-    same_chunk = F.col(key).eqNullSafe(F.col("_key")) & F.col("_chunk").eqNullSafe(
-        F.col("_of")
-    )
     return (
-        chunked.withColumn("_within", within)
-        .join(before, same_chunk)
+        chunked.withColumn("_within", F.row_number().over(within))
+        .join(before, ["_series", "_chunk"])
         .withColumn("_at", F.col("_before") + F.col("_within") - 1)
-        .drop("_chunk", "_within", "_key", "_of", "_before")
+        .drop("_series", "_chunk", "_within", "_before")
     )

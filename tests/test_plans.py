@@ -71,6 +71,21 @@ def test_unbounded_windows_never_partition_by_building_alone(spark):
     assert len(_shuffles(plan)) == 1  # by the clock: no second shuffle
 
 
+def test_row_positions_move_the_rows_once_and_the_counts_thrice(spark):
+    plan = _plan(features.add_window_features(training_panel(spark), FeatureSpec()))
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    keys = [re.sub(r"#\d+L?|, \d+$", "", s) for s in shuffles]
+    assert sorted(keys) == sorted(
+        [
+            "_series, _chunk",  # the rows, to be numbered
+            "building_id, _block",  # the rows, into their blocks
+            "_series, _chunk",  # counts per chunk
+            "_series",  # their running total
+            "_series, _chunk",  # the totals, back to the numbered rows
+        ]
+    )
+
+
 def test_days_are_pruned_in_the_stored_panel(spark, tmp_path):
     path = str(tmp_path / "panel")
     writers.write_panel(with_date_parts(training_panel(spark, 5)), path)
