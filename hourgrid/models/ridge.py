@@ -1,7 +1,7 @@
 """The numpy side of ridge regression, run inside Spark tasks.
 
 Spark ships this module with the tasks (``register_pickle_by_value`` below), so
-the workers need numpy and pandas but not this package.
+the workers need numpy, pandas and pyarrow but not this package.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 
 SOLVER_ROUNDS = 5
@@ -19,28 +20,35 @@ PARTIAL_SCHEMA = (
     " first_hour bigint, last_hour bigint"
 )
 COEFFICIENT_SCHEMA = (
-    "building_id string, coefficients array<double>, sigma double, n_obs bigint"
+    "building_id string, coefficients array<double>, offsets array<double>,"
+    " slopes array<double>, sigma double, n_obs bigint"
 )
 
 
-def cross_products(block: pd.DataFrame) -> pd.DataFrame:
-    """One block's design rows to the matrix of their cross-products."""
-    rows = np.vstack(block["_row"].to_numpy())
-    return pd.DataFrame(
+def cross_products(block: pa.Table) -> pa.Table:
+    """One block's design rows to the matrix of their cross-products.
+
+    Arrow keeps the cells of all rows in one buffer, which numpy reads as a matrix.
+    """
+    cells = pa.concat_arrays([c.flatten() for c in block.column("_row").chunks])
+    rows = cells.to_numpy().reshape(block.num_rows, -1)
+    hours = block.column("_hour").to_numpy()
+    return pa.table(
         {
-            "building_id": block["building_id"].iloc[:1],
-            "cross": [(rows.T @ rows).ravel()],
-            "n_obs": [len(rows)],
-            "first_hour": [block["_hour"].min()],
-            "last_hour": [block["_hour"].max()],
+            "building_id": block.column("building_id").slice(0, 1),
+            "cross": pa.array([(rows.T @ rows).ravel()], pa.list_(pa.float64())),
+            "n_obs": pa.array([block.num_rows], pa.int64()),
+            "first_hour": pa.array([hours.min()], pa.int64()),
+            "last_hour": pa.array([hours.max()], pa.int64()),
         }
     )
 
 
-def solver(scales: np.ndarray, hours_needed: np.ndarray):
+def solver(scales: np.ndarray, hours_needed: np.ndarray, changepoints: np.ndarray):
     """The grouped function that turns a building's blocks into coefficients.
 
     A design column takes part when the building has ``hours_needed`` of history.
+    The trend is also returned as one line per stretch between changepoints.
     """
 
     def solve(partials: pd.DataFrame) -> pd.DataFrame:
@@ -50,10 +58,15 @@ def solver(scales: np.ndarray, hours_needed: np.ndarray):
         hours = int(partials["last_hour"].max() - partials["first_hour"].min())
         usable = hours_needed <= hours
         beta, sigma = ridge(cross.reshape(side, side), n, scales, usable)
+        bends = beta[2 : 2 + len(changepoints)]
+        slopes = beta[1] + np.concatenate([[0.0], np.cumsum(bends)])
+        offsets = beta[0] - np.concatenate([[0.0], np.cumsum(bends * changepoints)])
         return pd.DataFrame(
             {
                 "building_id": partials["building_id"].iloc[:1],
                 "coefficients": [beta],
+                "offsets": [offsets],
+                "slopes": [slopes],
                 "sigma": [sigma],
                 "n_obs": [n],
             }

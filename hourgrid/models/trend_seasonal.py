@@ -42,6 +42,7 @@ TREND_PRIOR_SCALE = 5.0
 
 BLOCK_HOURS = 4_096
 
+
 @dataclass(frozen=True)
 class Layout:
     """Position and penalty of every design column; shared by fit and scoring."""
@@ -62,19 +63,45 @@ class Layout:
             **{k: tuple(v) if isinstance(v, list) else v for k, v in json.loads(text).items()}
         )
 
-    def columns(self) -> list[Column]:
-        """The design row as Spark expressions on ``_hour`` and the regressors."""
-        hour = F.col("_hour")
-        t = (hour - self.first_hour) / F.lit(float(self.span_hours))
-        trend = [F.lit(1.0), t]
-        bends = [F.greatest(t - point, F.lit(0.0)) for point in self.changepoints]
+    def _t(self) -> Column:
+        """Position in the training range, 0 to 1; later hours lie beyond 1."""
+        return (F.col("_hour") - self.first_hour) / F.lit(float(self.span_hours))
+
+    def _effects(self) -> list[Column]:
         waves = [
-            wave(hour * F.lit(2.0 * pi * order / SEASONS[season][0]))
+            wave(F.col("_hour") * F.lit(2.0 * pi * order / SEASONS[season][0]))
             for season in self.seasons
             for order in range(1, SEASONS[season][1] + 1)
             for wave in (F.sin, F.cos)
         ]
-        return trend + bends + waves + [or_zero(name) for name in self.regressors]
+        return waves + [or_zero(name) for name in self.regressors]
+
+    def columns(self) -> list[Column]:
+        """The design row as Spark expressions on ``_hour`` and the regressors."""
+        t = self._t()
+        bends = [F.greatest(t - point, F.lit(0.0)) for point in self.changepoints]
+        return [F.lit(1.0), t, *bends, *self._effects()]
+
+    def prediction(self) -> Column:
+        """Design row times coefficients.
+
+        The trend is looked up as the line of its stretch instead of summed over
+        all changepoints: with every term spelled out, the generated code outgrows
+        what the JVM compiles, and scoring takes ten times as long.
+        """
+        t = self._t()
+        last = len(self.changepoints)
+        stretch = F.lit(0)
+        if last:
+            passed = F.floor(t / F.lit(self.changepoints[0]))
+            stretch = F.least(F.greatest(passed, F.lit(0)), F.lit(last)).cast("int")
+        trend = F.get("offsets", stretch) + F.get("slopes", stretch) * t
+        beta = F.col("coefficients")
+        effects = [
+            effect * beta.getItem(2 + last + position)
+            for position, effect in enumerate(self._effects())
+        ]
+        return reduce(add, effects, trend)
 
     def prior_scales(self, params: TrendSeasonalParams) -> np.ndarray:
         waves = sum(2 * SEASONS[season][1] for season in self.seasons)
@@ -109,16 +136,11 @@ class TrendSeasonalModel:
         ``features`` needs the key columns and the model's regressors; its columns
         in ``keep`` are passed on.
         """
-        beta = F.col("coefficients")
-        terms = [
-            column * beta.getItem(position)
-            for position, column in enumerate(self.layout.columns())
-        ]
         half = NormalDist().inv_cdf((1 + self.layout.interval_width) / 2)
         scored = (
             features.withColumn("_hour", hour_index("timestamp_hour"))
             .join(self.coefficients, "building_id", "left")
-            .withColumn("yhat", reduce(add, terms))
+            .withColumn("yhat", self.layout.prediction())
         )
         spread = F.col("sigma") * F.lit(half)
         return scored.withColumns(
@@ -135,7 +157,10 @@ def plan_layout(
     params: TrendSeasonalParams,
     regressors: Sequence[str],
 ) -> Layout:
-    """Changepoints sit evenly in the first part of the training range."""
+    """Changepoints sit evenly in the first part of the training range.
+
+    The first one is one spacing after the start, so it also gives the spacing.
+    """
     n = params.n_changepoints
     points = (params.changepoint_range * (i + 1) / (n + 1) for i in range(n))
     return Layout(
@@ -185,10 +210,14 @@ def fit_trend_seasonal(
         "_hour",
         F.array(*layout.columns(), F.col("_y")).alias("_row"),
     )
-    partial = design.groupBy("building_id", "_block").applyInPandas(
+    partial = design.groupBy("building_id", "_block").applyInArrow(
         ridge.cross_products, ridge.PARTIAL_SCHEMA
     )
-    solve = ridge.solver(layout.prior_scales(params), layout.hours_needed(params))
+    solve = ridge.solver(
+        layout.prior_scales(params),
+        layout.hours_needed(params),
+        np.array(layout.changepoints),
+    )
     coefficients = partial.groupBy("building_id").applyInPandas(
         solve, ridge.COEFFICIENT_SCHEMA
     )

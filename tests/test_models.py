@@ -69,7 +69,8 @@ def test_coefficients_equal_a_direct_ridge_solution(spark, monkeypatch):
     from hourgrid.models import trend_seasonal
 
     monkeypatch.setattr(trend_seasonal, "BLOCK_HOURS", 60)
-    fitted = fit_trend_seasonal(frame, params).coefficients.first()
+    model = fit_trend_seasonal(frame, params)
+    fitted = model.coefficients.first()
 
     layout = plan_layout(0, 499, params, ())
     origin = (START - datetime(1970, 1, 1)) // timedelta(hours=1)
@@ -95,6 +96,10 @@ def test_coefficients_equal_a_direct_ridge_solution(spark, monkeypatch):
     assert fitted.sigma == pytest.approx(math.sqrt(noise) * scale, rel=1e-6)
     assert fitted.n_obs == 500
 
+    # Scoring looks the trend up by stretch; it must equal the full design row.
+    forecast = model.forecast(frame).orderBy("timestamp_hour").collect()
+    assert [r.yhat for r in forecast] == pytest.approx(list(x @ beta * scale), abs=1e-6)
+
 
 def test_interval_widens_with_noise(spark):
     rng = np.random.default_rng(0)
@@ -139,6 +144,19 @@ def test_building_without_model_gets_nulls(spark):
     assert (row.yhat, row.yhat_lower, row.yhat_upper) == (None, None, None)
 
 
+def test_trend_without_changepoints(spark):
+    params = TrendSeasonalParams(
+        n_changepoints=0,
+        daily_seasonality=False,
+        weekly_seasonality=False,
+        yearly_seasonality=False,
+    )
+    rows = [("B1", START + timedelta(hours=h), 3.0 + 0.5 * h) for h in range(100)]
+    model = fit_trend_seasonal(spark.createDataFrame(rows, FRAME), params)
+    (row,) = model.forecast(_series(spark, 1, 120, (("B1", 0.0),))).collect()
+    assert row.yhat == pytest.approx(63.0, abs=0.1)
+
+
 def test_missing_targets_are_ignored(spark):
     holes = _series(spark, 240).withColumn(
         "consumption_kwh",
@@ -267,7 +285,7 @@ def test_workers_do_not_need_the_package():
         "import numpy as np\n"
         "from pyspark import cloudpickle\n"
         "from hourgrid.models import ridge\n"
-        "solve = ridge.solver(np.ones(2), np.zeros(2))\n"
+        "solve = ridge.solver(np.ones(2), np.zeros(2), np.zeros(0))\n"
         "sys.stdout.buffer.write(cloudpickle.dumps((ridge.cross_products, solve)))" % repo
     )
     dumped = subprocess.run(
