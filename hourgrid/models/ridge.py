@@ -25,23 +25,30 @@ COEFFICIENT_SCHEMA = (
 )
 
 
-def cross_products(block: pa.Table) -> pa.Table:
-    """One block's design rows to the matrix of their cross-products.
+def cross_products(changepoints: np.ndarray):
+    """The grouped function that turns a block's rows into their cross-products.
 
-    Arrow keeps the cells of all rows in one buffer, which numpy reads as a matrix.
+    A design row is 1, position, one bend per changepoint, the effects, the target.
     """
-    cells = pa.concat_arrays([c.flatten() for c in block.column("_row").chunks])
-    rows = cells.to_numpy().reshape(block.num_rows, -1)
-    hours = block.column("_hour").to_numpy()
-    return pa.table(
-        {
-            "building_id": block.column("building_id").slice(0, 1),
-            "cross": pa.array([(rows.T @ rows).ravel()], pa.list_(pa.float64())),
-            "n_obs": pa.array([block.num_rows], pa.int64()),
-            "first_hour": pa.array([hours.min()], pa.int64()),
-            "last_hour": pa.array([hours.max()], pa.int64()),
-        }
-    )
+
+    def summarise(block: pa.Table) -> pa.Table:
+        # Arrow keeps the cells of all rows in one buffer: a matrix without copies.
+        cells = pa.concat_arrays([c.flatten() for c in block.column("_row").chunks])
+        given = cells.to_numpy().reshape(block.num_rows, -1)
+        at, hours = (block.column(name).to_numpy() for name in ("_at", "_hour"))
+        bends = np.maximum(at[:, None] - changepoints, 0.0)
+        rows = np.column_stack([np.ones(len(at)), at, bends, given])
+        return pa.table(
+            {
+                "building_id": block.column("building_id").slice(0, 1),
+                "cross": pa.array([(rows.T @ rows).ravel()], pa.list_(pa.float64())),
+                "n_obs": pa.array([block.num_rows], pa.int64()),
+                "first_hour": pa.array([hours.min()], pa.int64()),
+                "last_hour": pa.array([hours.max()], pa.int64()),
+            }
+        )
+
+    return summarise
 
 
 def solver(scales: np.ndarray, hours_needed: np.ndarray, changepoints: np.ndarray):

@@ -63,11 +63,12 @@ class Layout:
             **{k: tuple(v) if isinstance(v, list) else v for k, v in json.loads(text).items()}
         )
 
-    def _t(self) -> Column:
+    def position(self) -> Column:
         """Position in the training range, 0 to 1; later hours lie beyond 1."""
         return (F.col("_hour") - self.first_hour) / F.lit(float(self.span_hours))
 
-    def _effects(self) -> list[Column]:
+    def effects(self) -> list[Column]:
+        """Seasons and regressors as expressions on ``_hour`` and the features."""
         waves = [
             wave(F.col("_hour") * F.lit(2.0 * pi * order / SEASONS[season][0]))
             for season in self.seasons
@@ -76,12 +77,6 @@ class Layout:
         ]
         return waves + [or_zero(name) for name in self.regressors]
 
-    def columns(self) -> list[Column]:
-        """The design row as Spark expressions on ``_hour`` and the regressors."""
-        t = self._t()
-        bends = [F.greatest(t - point, F.lit(0.0)) for point in self.changepoints]
-        return [F.lit(1.0), t, *bends, *self._effects()]
-
     def prediction(self) -> Column:
         """Design row times coefficients.
 
@@ -89,7 +84,7 @@ class Layout:
         all changepoints: with every term spelled out, the generated code outgrows
         what the JVM compiles, and scoring takes ten times as long.
         """
-        t = self._t()
+        t = self.position()
         last = len(self.changepoints)
         stretch = F.lit(0)
         if last:
@@ -99,7 +94,7 @@ class Layout:
         beta = F.col("coefficients")
         effects = [
             effect * beta.getItem(2 + last + position)
-            for position, effect in enumerate(self._effects())
+            for position, effect in enumerate(self.effects())
         ]
         return reduce(add, effects, trend)
 
@@ -208,15 +203,15 @@ def fit_trend_seasonal(
         "building_id",
         "_block",
         "_hour",
-        F.array(*layout.columns(), F.col("_y")).alias("_row"),
+        layout.position().alias("_at"),
+        F.array(*layout.effects(), F.col("_y")).alias("_row"),
     )
+    changepoints = np.array(layout.changepoints)
     partial = design.groupBy("building_id", "_block").applyInArrow(
-        ridge.cross_products, ridge.PARTIAL_SCHEMA
+        ridge.cross_products(changepoints), ridge.PARTIAL_SCHEMA
     )
     solve = ridge.solver(
-        layout.prior_scales(params),
-        layout.hours_needed(params),
-        np.array(layout.changepoints),
+        layout.prior_scales(params), layout.hours_needed(params), changepoints
     )
     coefficients = partial.groupBy("building_id").applyInPandas(
         solve, ridge.COEFFICIENT_SCHEMA

@@ -286,7 +286,7 @@ def test_workers_do_not_need_the_package():
         "from pyspark import cloudpickle\n"
         "from hourgrid.models import ridge\n"
         "solve = ridge.solver(np.ones(2), np.zeros(2), np.zeros(0))\n"
-        "sys.stdout.buffer.write(cloudpickle.dumps((ridge.cross_products, solve)))" % repo
+        "sys.stdout.buffer.write(cloudpickle.dumps((ridge.cross_products(np.zeros(0)), solve)))" % repo
     )
     dumped = subprocess.run(
         [sys.executable, "-c", code], capture_output=True, check=True, cwd="/"
