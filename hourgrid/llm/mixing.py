@@ -208,11 +208,13 @@ def mixed(
     labels: DataFrame,
     targets: Mapping[str, float] = TARGETS,
     text: str = "text",
+    nearest: bool = False,
 ) -> DataFrame:
     """doc_id, text_hash, tokens, p, rate, copies of every document.
 
     ``copies`` is the rate rounded up with a chance of its fraction, by a hash of id and
-    text. Null and empty texts have no tokens and the rate of their posterior. Without
+    text, so expected totals stay on target; with ``nearest``, it is rounded half up, so
+    a document of the domain with most tokens is not lost by chance. Null and empty texts have no tokens and the rate of their posterior. Without
     labelled documents every rate is 1. Repeated rows get equal rates; an empty table
     gives no rows, and other columns are not looked at.
     """
@@ -220,17 +222,22 @@ def mixed(
     model = fit(docs, labels, text)
     members = stored(posteriors(docs, model, text), "members")
     chance = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1_000_003)) / 1_000_003
+    chance = F.lit(0.5) if nearest else chance
     return rates(members, model[0], targets).withColumn(
         "copies", F.floor(F.col("rate") + chance).cast("long")
     )
 
 
 def mix(
-    docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, text: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: Mapping[str, float] = TARGETS,
+    text: str = "text",
+    nearest: bool = True,
 ) -> DataFrame:
     """The documents, each as often as its copies say, with the columns of ``docs``."""
     chosen = (
-        mixed(docs, labels, targets, text)
+        mixed(docs, labels, targets, text, nearest)
         .where("copies > 0")
         .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), "copies")
         .dropDuplicates(["_id", "_h"])
