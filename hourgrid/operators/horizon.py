@@ -38,11 +38,14 @@ def lookback(panel: DataFrame, start: str, lookback_days: int) -> DataFrame:
 def hourly_weather_forecast(
     raw: DataFrame, start: str, horizon_hours: int
 ) -> DataFrame:
-    """Forecast weather of the days the horizon touches, under the panel's names."""
+    """Forecast weather of the days the horizon touches, under the panel's names.
+
+    Hourly averages per building, so a repeated forecast row gives no second hour.
+    """
     first = as_datetime(start)
     last_day = (first + timedelta(hours=horizon_hours - 1)).date()
-    hour = parse_timestamp("timestamp_hour_str")
-    return raw.select(
+    hour = F.date_trunc("hour", parse_timestamp("timestamp_hour_str")).cast("timestamp_ntz")
+    rows = raw.select(
         "building_id",
         hour.alias("timestamp_hour"),
         F.col("temp_fcst").alias("temperature_c"),
@@ -52,6 +55,10 @@ def hourly_weather_forecast(
         (F.col("timestamp_hour") >= moment(first))
         & (F.col("timestamp_hour") < moment(as_datetime(last_day) + timedelta(days=1)))
     )
+    values = ("temperature_c", "solar_irradiance_ghi", "humidity")
+    return rows.groupBy("building_id", "timestamp_hour").agg(
+        *(F.avg(name).alias(name) for name in values)
+    )
 
 
 def future_frame(history: DataFrame, start: str, horizon_hours: int) -> DataFrame:

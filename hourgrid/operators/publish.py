@@ -48,9 +48,12 @@ def serve_forecast(
     start: str,
     hours: int = 24,
     measure: str = "forecast",
-    limit: int = 100,
+    limit: int | None = None,
 ) -> DataFrame:
-    """One building's measure over ``[start, start + hours)``, earliest first."""
+    """One building's measure over ``[start, start + hours)``, earliest first.
+
+    All its hours, unless the caller sets a ``limit``.
+    """
     first = as_datetime(start)
     last = first + timedelta(hours=hours)
     rows = long.where(
@@ -63,11 +66,8 @@ def serve_forecast(
         # Partition column of the stored table: read only the days asked for.
         bounds = (F.lit(d.date().isoformat()).cast("date") for d in (first, last))
         rows = rows.where(F.col("date").between(*bounds))
-    return (
-        rows.select("time", "measure_name", "measure_value")
-        .orderBy("time")
-        .limit(limit)
-    )
+    served = rows.select("time", "measure_name", "measure_value").orderBy("time")
+    return served if limit is None else served.limit(limit)
 
 
 def latest_hour(frame: DataFrame, time: str = "timestamp_hour") -> DataFrame:

@@ -66,8 +66,8 @@ def registry_rows(
         status,
     )
     summary = (
-        f"Model trained on {start} to {end}. Code Commit: {commit}. "
-        f"Feature Source: {feature_source}. Evaluation Status: "
+        f"Training days {start} .. {end}; commit {commit}; "
+        f"features from {feature_source}; evaluation: "
     )
     return metrics.select(
         F.concat_ws("/", F.lit(group), F.lit(run_id), F.col("building_id")).alias(

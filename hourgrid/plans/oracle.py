@@ -254,8 +254,8 @@ _RUN = c.REGISTRY_RUN
 _REGISTRY = f"""
 SELECT '{_RUN["group"]}/{_RUN["run_id"]}/' || building_id AS model_package_id,
        '{_RUN["group"]}' AS model_package_group, building_id,
-       'Model trained on {_RUN["start"]} to {_RUN["end"]}. Code Commit: {_RUN["commit"]}. '
-         || 'Feature Source: {_RUN["feature_source"]}. Evaluation Status: Success'
+       'Training days {_RUN["start"]} .. {_RUN["end"]}; commit {_RUN["commit"]}; '
+         || 'features from {_RUN["feature_source"]}; evaluation: Success'
          AS description,
        'PendingManualApproval' AS approval_status, '{_RUN["commit"]}' AS commit_id,
        TIMESTAMP '{_RUN["created_at"]}' AS created_at,
@@ -414,7 +414,7 @@ SELECT time, measure_name, {_rounded("measure_value")} FROM long
 WHERE dim_building_id = '{c.SERVED_BUILDING}' AND measure_name = 'forecast'
   AND time >= TIMESTAMP '{c.INFERENCE_START}'
   AND time < DATE '{c.INFERENCE_START}' + INTERVAL 1 DAY
-ORDER BY time LIMIT 100""",
+ORDER BY time""",
     ),
     "multi_file_union": _sql(
         _TO_NAIVE,

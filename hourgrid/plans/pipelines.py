@@ -74,7 +74,7 @@ def run_ingest(
     panel = process_panel(
         spark, consumption_path, solar_path, weather_path, calendar_path, start, end
     )
-    rows = writers.write_panel(panel, destination, table)
+    rows = writers.write_panel(panel, destination, table, (start, end))
     if rows == 0:
         logger.warning("No panel rows for %s to %s", start, end)
     return rows

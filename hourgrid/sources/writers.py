@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.schemas import PANEL_COLUMNS, PANEL_PARTITIONS
+from hourgrid.session import scratch_path
 
 
 def _write_partitions(frame: DataFrame, path: str, partitions: tuple[str, ...]) -> int:
@@ -30,9 +32,72 @@ def _write_partitions(frame: DataFrame, path: str, partitions: tuple[str, ...])
     return seen.get["rows"]
 
 
-def write_panel(panel: DataFrame, path: str, table: str | None = None) -> int:
-    """Write the panel by day; with ``table``, register it and its new days."""
-    rows = _write_partitions(panel, path, PANEL_PARTITIONS)
+def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
+    try:
+        return spark.read.schema(like.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _merge_partitions(
+    frame: DataFrame,
+    path: str,
+    partitions: tuple[str, ...],
+    keys: tuple[str, ...],
+    rank: Column,
+    drop: Column,
+) -> int:
+    """Write the frame into the partitions it touches, keeping what else they hold.
+
+    Of rows with equal keys the one with the highest ``rank`` stays; a stored row has
+    rank 1. Stored rows of which ``drop`` is true go. The union is staged in the shared
+    folder first, since Spark cannot replace files that it reads. Returns the frame's rows.
+    """
+    spark = frame.sparkSession
+    old = _stored(spark, path, frame)
+    if old is None:
+        return _write_partitions(frame, path, partitions)
+    staged = scratch_path(spark, "merge")
+    new = frame.withColumn("_rank", rank)
+    new.write.parquet(f"{staged}/new")
+    fresh = spark.read.schema(new.schema).parquet(f"{staged}/new")
+    if fresh.isEmpty():
+        return 0
+    touched = fresh.select(*(F.col(name).alias(f"_{name}") for name in partitions)).distinct()
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in partitions]
+    kept = old.where(~F.coalesce(drop, F.lit(False))).join(touched, same, "left_semi")
+    both = fresh.unionByName(kept.withColumn("_rank", F.lit(1)))
+    columns = F.struct(*frame.columns)
+    best = both.groupBy(*keys).agg(F.max_by(columns, "_rank").alias("_row")).select("_row.*")
+    best.write.parquet(f"{staged}/union")
+    _write_partitions(
+        spark.read.schema(frame.schema).parquet(f"{staged}/union"), path, partitions
+    )
+    return fresh.count()
+
+
+def write_panel(
+    panel: DataFrame,
+    path: str,
+    table: str | None = None,
+    days: tuple[str, str] | None = None,
+) -> int:
+    """Write the panel by day; with ``table``, register it and its new days.
+
+    With ``days``, first and last, the hours of these days are replaced. Of other days,
+    and of rows without an hour, stored rows stay and missing ones are added: a late
+    record then never stands in for a whole hour. Ingesting both days together adds it
+    to its hour. Without ``days`` the partitions that the panel holds are replaced.
+    """
+    if days is None:
+        rows = _write_partitions(panel, path, PANEL_PARTITIONS)
+    else:
+        inside = F.to_date("timestamp_hour").between(*(F.lit(d).cast("date") for d in days))
+        rank = F.when(inside, 2).otherwise(0)
+        keys = ("building_id", "timestamp_hour")
+        rows = _merge_partitions(panel, path, PANEL_PARTITIONS, keys, rank, inside)
     if table:
         register_panel(panel.sparkSession, path, table, panel.select(*PANEL_COLUMNS))
     return rows
@@ -70,9 +135,17 @@ def write_forecasts(forecasts: DataFrame, path: str) -> None:
 
 
 def write_measures(long: DataFrame, path: str) -> int:
-    """The long measure table, partitioned by date."""
-    return _write_partitions(
-        long.withColumn("date", F.to_date("time")), path, ("date",)
+    """The long measure table, partitioned by date.
+
+    A row replaces the stored one of its time, building and measure; others stay.
+    """
+    return _merge_partitions(
+        long.withColumn("date", F.to_date("time")),
+        path,
+        ("date",),
+        ("time", "dim_building_id", "measure_name"),
+        F.lit(2),
+        F.lit(False),
     )
 
 
@@ -90,7 +163,12 @@ def write_evaluation_report(report: DataFrame, path: str) -> None:
 
 
 def append_registry(entries: DataFrame, path: str) -> int:
-    seen = Observation()
-    counted = entries.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("append").parquet(path)
-    return seen.get["rows"]
+    """Add a run's entries; a repeated run replaces its own, pending again."""
+    return _merge_partitions(
+        entries,
+        path,
+        ("model_package_group",),
+        ("model_package_id",),
+        F.lit(2),
+        F.lit(False),
+    )

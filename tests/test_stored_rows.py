@@ -1,0 +1,66 @@
+"""Writers and joins that must neither lose nor multiply rows."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+from hourgrid.operators import horizon, publish
+from hourgrid.operators.panel import with_date_parts
+from hourgrid.schemas import FORECAST, PANEL_VALUES, WEATHER_FORECAST
+from hourgrid.sources import writers
+
+
+def _panel(spark, rows):
+    full = [(b, t, kwh, 0.0, None, None, None, 0) for b, t, kwh in rows]
+    return with_date_parts(spark.createDataFrame(full, PANEL_VALUES))
+
+
+def test_late_row_keeps_the_day_before(spark, tmp_path):
+    path = str(tmp_path / "panel")
+    day = datetime(2025, 6, 2)
+    hours = [("N7", day + timedelta(hours=h), 3.0) for h in range(24)]
+    writers.write_panel(_panel(spark, hours), path, days=("2025-06-02", "2025-06-02"))
+    later = [("N7", day + timedelta(hours=23), 0.5), ("N7", day + timedelta(hours=24), 4.0)]
+    for _ in range(2):
+        writers.write_panel(_panel(spark, later), path, days=("2025-06-03", "2025-06-03"))
+        stored = spark.read.parquet(path)
+        assert stored.count() == 25
+        assert stored.where("consumption_kwh = 0.5").isEmpty()
+    # The day's own run replaces its hours.
+    writers.write_panel(_panel(spark, hours[:5]), path, days=("2025-06-02", "2025-06-02"))
+    assert spark.read.parquet(path).count() == 6
+
+
+def test_rows_without_an_hour_stay(spark, tmp_path):
+    path = str(tmp_path / "panel")
+    for day, name in (("2025-06-02", "N7"), ("2025-06-03", "N8")):
+        writers.write_panel(_panel(spark, [(name, None, 1.0)]), path, days=(day, day))
+    assert {r.building_id for r in spark.read.parquet(path).collect()} == {"N7", "N8"}
+
+
+def test_republishing_one_building_keeps_the_other(spark, tmp_path):
+    path = str(tmp_path / "measures")
+    at = datetime(2025, 6, 2, 8)
+    both = [(b, at, 5.0, 4.0, 6.0) for b in ("N7", "N8")]
+    writers.write_measures(publish.forecast_long(spark.createDataFrame(both, FORECAST)), path)
+    again = spark.createDataFrame([("N7", at + timedelta(hours=1), 7.0, 6.0, 8.0), ("N7", at, 9.0, 8.0, 9.5)], FORECAST)
+    writers.write_measures(publish.forecast_long(again), path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 9
+    value = stored.where("dim_building_id = 'N7' and measure_name = 'forecast'").orderBy("time").first()
+    assert value.measure_value == 9.0
+
+
+def test_serving_has_no_cap(spark):
+    rows = [("N7", datetime(2025, 6, 2) + timedelta(hours=h), 1.0, 0.0, 2.0) for h in range(168)]
+    long = publish.forecast_long(spark.createDataFrame(rows, FORECAST))
+    assert publish.serve_forecast(long, "N7", "2025-06-02", hours=168).count() == 168
+
+
+def test_repeated_weather_forecast_gives_one_hour(spark):
+    rows = [("N7", f"2025-06-02 0{h}:{m}:00", 10.0 + m, 1.0, 2.0) for h in (1, 2) for m in (10, 30)]
+    found = horizon.hourly_weather_forecast(
+        spark.createDataFrame([*rows, rows[0]], WEATHER_FORECAST), "2025-06-02", 24
+    ).collect()
+    assert {r.timestamp_hour for r in found} == {datetime(2025, 6, 2, 1), datetime(2025, 6, 2, 2)}
+    assert len(found) == 2
