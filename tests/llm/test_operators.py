@@ -9,6 +9,7 @@ import re
 from collections import Counter
 from zlib import crc32
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -22,6 +23,7 @@ from hourgrid.llm import (
     merkle,
     mixing,
     quality,
+    queries,
     secrets,
     simhash,
     tokencounts,
@@ -337,3 +339,12 @@ def test_url_model_sums_to_one_and_separates():
     assert urls.log_likelihood(urls.symbols("http://ab.org"), known) > urls.log_likelihood(
         urls.symbols("http://zq.org"), known
     )
+
+
+def test_quality_equals_its_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    found = queries.op2_quality(spark, folder)
+    with duckdb.connect() as base:
+        base.execute(f"CREATE VIEW documents AS FROM '{folder}/documents.parquet'")
+        wanted = base.execute(queries.ORACLE_SQL["op2_quality"]).fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
