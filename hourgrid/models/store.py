@@ -95,7 +95,7 @@ def load_forecaster(spark: SparkSession, path: str) -> Forecaster:
     model: TrendSeasonalModel | BoostedTreeModel
     if metadata.model_type == "boosted_trees":
         if not features:
-            raise ValueError("Feature columns not found in model metadata.")
+            raise ValueError("The stored model names no input columns")
         model = BoostedTreeModel(PipelineModel.load(f"{path}/pipeline"), features)
     else:
         model = TrendSeasonalModel(

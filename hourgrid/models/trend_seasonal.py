@@ -173,7 +173,7 @@ def training_range(train: DataFrame, time: str = "timestamp_hour") -> tuple[int,
     bounds = train.agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
     row = bounds.select(hour_index("lo").alias("lo"), hour_index("hi").alias("hi")).first()
     if row.lo is None:
-        raise ValueError("Training feature DataFrame is empty.")
+        raise ValueError("There are no rows to train on")
     return row.lo, row.hi
 
 

@@ -22,7 +22,7 @@ from hourgrid.config import (
     rolling_name,
 )
 from hourgrid.functions.clock import calendar_part, moment
-from hourgrid.operators.panel import panel_range, span_hours
+from hourgrid.operators.panel import panel_range
 from hourgrid.operators.windows import WindowColumn, trailing_columns
 
 DAY = 24
@@ -92,7 +92,8 @@ def _rolling_days(name: str, column: str, rows: int, agg: str) -> WindowFeature:
         return reduce(add, [F.coalesce(c, F.lit(0)) for c in columns])
 
     def extreme() -> dict[str, Column]:
-        return {name: (F.least if agg == "min" else F.greatest)(*days(agg))}
+        pick = F.array_min if agg == "min" else F.array_max
+        return {name: pick(F.array(*days(agg)))}
 
     def count() -> dict[str, Column]:
         return {n: total(days("count"))}
@@ -139,7 +140,8 @@ def window_features(spec: FeatureSpec) -> dict[str, WindowFeature]:
         for hours in rolling.windows:
             for agg in rolling.aggs:
                 name = rolling_name(column, hours, agg)
-                if spec.mode == "rows" and hours > 2 * DAY and hours % DAY == 0:
+                # By the clock a day may end in a gap, where no row holds its parts.
+                if spec.mode == "rows" and hours % DAY == 0:
                     features[name] = _rolling_days(name, column, hours, agg)
                     continue
                 make = _trailing(column, hours, agg, spec.mode)
@@ -158,7 +160,6 @@ def add_window_features(
     panel: DataFrame,
     spec: FeatureSpec,
     wanted: Collection[str] | None = None,
-    hours_per_key: int | None = None,
     block_rows: int | None = None,
 ) -> DataFrame:
     """Add the wanted lag and rolling columns (all of the spec by default)."""
@@ -179,7 +180,6 @@ def add_window_features(
         mode=spec.mode,
         key=spec.key,
         time=spec.time,
-        span_hours=hours_per_key,
         block_rows=block_rows,
     )
     for steps in zip_longest(*[feature.combine for feature in chosen.values()]):
@@ -211,14 +211,13 @@ def feature_table(
     panel: DataFrame,
     spec: FeatureSpec,
     columns: Sequence[str],
-    hours_per_key: int | None = None,
 ) -> DataFrame:
     """Compute exactly ``columns``, in that order."""
     wanted = set(columns)
     for name in wanted & set(spec.interactions):
         wanted.update(spec.interactions[name])
     # The windows move rows between tasks, so calendar parts come after them.
-    with_windows = add_window_features(panel, spec, wanted, hours_per_key)
+    with_windows = add_window_features(panel, spec, wanted)
     with_calendar = add_calendar_features(with_windows, spec, wanted)
     return add_interactions(with_calendar, spec, wanted).select(*columns)
 
@@ -237,7 +236,7 @@ def training_features(
     """
     spec = spec or FeatureSpec()
     history = panel_range(panel, start, end, spec.time)
-    features = feature_table(history, spec, columns, span_hours(start, end))
+    features = feature_table(history, spec, columns)
     is_train = F.col(spec.time) < moment(split)
     return features.dropna(how="any").withColumn(
         "split", F.when(is_train, "train").otherwise("eval")

@@ -101,7 +101,6 @@ def inference_features(
     calendar: DataFrame,
     start: str,
     horizon_hours: int,
-    lookback_days: int,
     spec: FeatureSpec | None = None,
     columns: Sequence[str] = INFERENCE_COLUMNS,
     keep_null: bool = False,
@@ -114,9 +113,8 @@ def inference_features(
     """
     spec = spec or FeatureSpec()
     frame = inference_frame(history, weather, calendar, start, horizon_hours)
-    hours_per_key = lookback_days * 24 + horizon_hours
     features = (
-        feature_table(frame, spec, columns, hours_per_key)
+        feature_table(frame, spec, columns)
         .where(F.col(spec.time) >= moment(start))
         .dropna(subset=[spec.key, spec.time])
     )

@@ -65,8 +65,3 @@ def panel_range(
     return panel.where(
         (F.col(time) >= moment(start)) & (F.col(time) < moment(after_last))
     )
-
-
-def span_hours(start: str | date, end: str | date) -> int:
-    """How many hours a building can have between two inclusive days."""
-    return ((as_datetime(end) - as_datetime(start)).days + 1) * 24

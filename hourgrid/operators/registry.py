@@ -94,8 +94,9 @@ def latest_per_group(
 ) -> DataFrame:
     """The newest entry of each group (ties: highest id).
 
-    A ``max_by`` aggregate combines inside each task first, so one group holding
-    most of the entries is no problem; a ranking window would sort it on one task.
+    A ``max_by`` aggregate keeps one entry per task before the shuffle, so one group
+    holding most of the entries is no problem. Each task sorts its entries for that;
+    a ranking window would sort all of a group's on one task.
     """
     keys = [group] if isinstance(group, str) else list(group)
     entries = registry if where is None else registry.where(where)
@@ -114,5 +115,5 @@ def require_latest_approved(registry: DataFrame, group: str):
     in_group = registry.where(F.col("model_package_group") == group)
     entry = latest_approved(in_group).first()
     if entry is None:
-        raise ValueError(f"No approved model found in group {group}")
+        raise ValueError(f"Group {group} holds no approved entry")
     return entry

@@ -8,8 +8,8 @@ undivided window.
 
 ``hours`` mode cuts by the clock: one shuffle. ``rows`` mode cuts by row position,
 which first has to be found (rows per chunk, running total, position inside the
-chunk), so a caller that knows the time range is short gets the undivided window:
-the panel has one row per building and hour, which bounds the group.
+chunk). That reads the panel twice, the second time only its key and hour, so the
+panel should be a stored table, not raw feeds.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ from hourgrid.functions.clock import hour_index
 
 WindowColumn = Callable[[WindowSpec], Column]
 
-# Rows of one building that one task may hold: about eleven years of hours.
-UNDIVIDED_ROWS = 100_000
 BLOCK_ROWS = 4_096
 
 
@@ -36,7 +34,6 @@ def trailing_columns(
     mode: str,
     key: str = "building_id",
     time: str = "timestamp_hour",
-    span_hours: int | None = None,
     block_rows: int | None = None,
 ) -> DataFrame:
     """Add window columns that look back at most ``reach`` rows (or hours).
@@ -49,8 +46,6 @@ def trailing_columns(
     block_rows = block_rows or max(BLOCK_ROWS, 16 * reach)
     if reach > block_rows:
         raise ValueError("A block must be at least as long as the reach")
-    if mode == "rows" and span_hours is not None and span_hours <= UNDIVIDED_ROWS:
-        return _add(panel, passes, Window.partitionBy(key).orderBy(time))
     if mode == "hours":
         placed = panel.withColumn("_at", hour_index(time))
     else:

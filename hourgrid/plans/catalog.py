@@ -69,6 +69,17 @@ def _consumption(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.hourly_consumption(event_feeds.raw_feeds(spark, folder).consumption)
 
 
+def _stored(frame: DataFrame, name: str) -> DataFrame:
+    """The rows as a table, for queries that read them more than once."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _stored_panel(spark: SparkSession, folder: str) -> DataFrame:
+    return _stored(_panel(spark, folder), "panel")
+
+
 # --- Ingest -------------------------------------------------------------------
 
 
@@ -136,19 +147,20 @@ def _windowed(
 
 
 def lag_features(spark: SparkSession, folder: str) -> DataFrame:
-    return _windowed(_panel(spark, folder), FeatureSpec(), lambda name: "_lag_" in name)
+    return _windowed(_stored_panel(spark, folder), FeatureSpec(), lambda name: "_lag_" in name)
 
 
 def rolling_features(spark: SparkSession, folder: str) -> DataFrame:
     def chosen(name: str) -> bool:
         return name.startswith(("consumption_roll_avg", "consumption_roll_std"))
 
-    return _windowed(_consumption(spark, folder), FeatureSpec(), chosen)
+    hours = _stored(_consumption(spark, folder), "hours")
+    return _windowed(hours, FeatureSpec(), chosen)
 
 
 def rolling_features_full(spark: SparkSession, folder: str) -> DataFrame:
     return _windowed(
-        _panel(spark, folder), FeatureSpec(), lambda name: "_roll_" in name
+        _stored_panel(spark, folder), FeatureSpec(), lambda name: "_roll_" in name
     )
 
 
@@ -166,7 +178,7 @@ def lag_time_based(spark: SparkSession, folder: str) -> DataFrame:
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
     return feature_ops.training_features(
-        _panel(spark, folder), TRAIN_START, TRAIN_END, SPLIT
+        _stored_panel(spark, folder), TRAIN_START, TRAIN_END, SPLIT
     )
 
 
@@ -175,7 +187,9 @@ def train_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def train_eval_split(spark: SparkSession, folder: str) -> DataFrame:
-    train, evaluation = feature_ops.train_eval_split(_labelled(spark, folder))
+    train, evaluation = feature_ops.train_eval_split(
+        _stored(_labelled(spark, folder), "features")
+    )
     sides = [
         side.select(*KEY, "consumption_kwh", F.lit(name).alias("side"))
         for name, side in (("train", train), ("eval", evaluation))
@@ -197,7 +211,7 @@ def split_bounds(spark: SparkSession, folder: str) -> DataFrame:
 def _inference_inputs(
     spark: SparkSession, folder: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    history = horizon.lookback(_panel(spark, folder), INFERENCE_START, LOOKBACK)
+    history = horizon.lookback(_stored_panel(spark, folder), INFERENCE_START, LOOKBACK)
     weather = horizon.hourly_weather_forecast(
         event_feeds.raw_weather_forecast(spark, folder), INFERENCE_START, HORIZON
     )
@@ -217,7 +231,7 @@ def inference_frame(spark: SparkSession, folder: str) -> DataFrame:
 
 def _inference_features(spark: SparkSession, folder: str) -> DataFrame:
     inputs = _inference_inputs(spark, folder)
-    return horizon.inference_features(*inputs, INFERENCE_START, HORIZON, LOOKBACK)
+    return horizon.inference_features(*inputs, INFERENCE_START, HORIZON)
 
 
 def inference_features(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,12 +245,10 @@ def latest_forecast_hour(spark: SparkSession, folder: str) -> DataFrame:
 # --- Evaluation ---------------------------------------------------------------
 
 
-def _naive(spark: SparkSession, folder: str) -> DataFrame:
+def _naive(hours: DataFrame) -> DataFrame:
     """Actuals with yesterday's value as the forecast, bounds at -10 % and +10 %."""
     lagged = feature_ops.feature_table(
-        _consumption(spark, folder),
-        FeatureSpec(),
-        [*KEY, "consumption_kwh", "consumption_lag_24h"],
+        hours, FeatureSpec(), [*KEY, "consumption_kwh", "consumption_lag_24h"]
     )
     yhat = F.col("consumption_lag_24h")
     return lagged.select(
@@ -249,8 +261,8 @@ def _naive(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _naive_scored(spark: SparkSession, folder: str) -> DataFrame:
-    actuals = _consumption(spark, folder)
-    predictions = _naive(spark, folder).where(F.col("yhat").isNotNull())
+    actuals = _stored(_consumption(spark, folder), "hours")
+    predictions = _naive(actuals).where(F.col("yhat").isNotNull())
     return metrics.match_actuals(actuals, predictions)
 
 
@@ -284,7 +296,8 @@ def quality_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _naive_long(spark: SparkSession, folder: str) -> DataFrame:
-    return publish.forecast_long(_naive(spark, folder))
+    hours = _stored(_consumption(spark, folder), "hours")
+    return publish.forecast_long(_naive(hours))
 
 
 def forecast_long(spark: SparkSession, folder: str) -> DataFrame:
@@ -304,7 +317,8 @@ def serve_forecast_day(spark: SparkSession, folder: str) -> DataFrame:
 
 def multi_file_union(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "forecasts")
-    forecasts = _naive(spark, folder).select(*FORECAST_COLUMNS)
+    hours = _stored(_consumption(spark, folder), "hours")
+    forecasts = _stored(_naive(hours).select(*FORECAST_COLUMNS), "naive")
     early = F.col("timestamp_hour") < F.lit(SPLIT).cast("timestamp_ntz")
     forecasts.where(early).write.mode("append").parquet(path)
     forecasts.where(~early).write.mode("append").option("header", "true").csv(path)
@@ -346,7 +360,7 @@ def forecast_trend_seasonal(spark: SparkSession, folder: str) -> DataFrame:
 def forecast_gbt(spark: SparkSession, folder: str) -> DataFrame:
     columns = [*KEY, "consumption_kwh", *TREE_INPUTS]
     labelled = feature_ops.training_features(
-        _panel(spark, folder), TRAIN_START, TRAIN_END, SPLIT, columns=columns
+        _stored_panel(spark, folder), TRAIN_START, TRAIN_END, SPLIT, columns=columns
     )
     # Boosting passes over its input many times: store it once, as training does.
     path = scratch_path(spark, "features")
@@ -409,6 +423,5 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
         "consumption_roll_avg_24h",
         "consumption_roll_std_24h",
     ]
-    return _rounded(
-        feature_ops.feature_table(_consumption(spark, folder), FeatureSpec(), columns)
-    )
+    hours = _stored(_consumption(spark, folder), "hours")
+    return _rounded(feature_ops.feature_table(hours, FeatureSpec(), columns))

@@ -128,7 +128,7 @@ def run_training(
 ) -> Forecaster:
     train = readers.read_features(spark, train_path)
     if train.isEmpty():
-        raise ValueError("Training feature DataFrame is empty.")
+        raise ValueError("There are no rows to train on")
     fitted = fit_forecaster(strategy, train, feature_columns, hyperparameters, target)
     fitted.save(spark, model_path)
     # The stored model: what a fresh fit computes lazily is only read from here on.
@@ -242,7 +242,6 @@ def calculate_inference_features(
         calendar_daily(readers.read_calendar(spark, calendar_path)),
         start,
         horizon_hours,
-        lookback_days,
         spec,
         columns,
         keep_null,
@@ -259,6 +258,7 @@ def run_inference_features(
     horizon_hours: int = HORIZON_HOURS,
     lookback_days: int = LOOKBACK_DAYS,
     columns: Sequence[str] = INFERENCE_COLUMNS,
+    spec: FeatureSpec | None = None,
 ) -> bool:
     """Write the horizon features; False (and nothing written) without inputs."""
     features = calculate_inference_features(
@@ -269,7 +269,8 @@ def run_inference_features(
         start,
         horizon_hours,
         lookback_days,
-        columns=columns,
+        spec,
+        columns,
     )
     if features is None:
         return False
@@ -307,6 +308,7 @@ def run_inference(
     horizon_hours: int = HORIZON_HOURS,
     lookback_days: int = LOOKBACK_DAYS,
     columns: Sequence[str] = INFERENCE_COLUMNS,
+    spec: FeatureSpec | None = None,
 ) -> int:
     """Features, forecast and publication in one application."""
     features_path, forecasts_path = f"{work_path}/features", f"{work_path}/forecasts"
@@ -320,6 +322,7 @@ def run_inference(
         horizon_hours,
         lookback_days,
         columns,
+        spec,
     )
     if not written:
         return 0

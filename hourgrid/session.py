@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -30,12 +31,15 @@ def local_session(cores: str | int = "*", **settings: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a temporary folder.
+    A session in one process (a local test) without that setting gets a temporary
+    folder. Any other raises: executors do not see each other's disks.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured is None:
-        configured = context.getCheckpointDir() or tempfile.mkdtemp(prefix="hourgrid-")
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="hourgrid-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,25 +90,40 @@ def read_features(
 
 
 def _forecast_csv(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    as_text = T.StructType(
-        [
-            T.StructField(field.name, T.StringType())
-            if field.name == "timestamp_hour"
-            else field
-            for field in schemas.FORECAST
-        ]
-    )
-    reader = spark.read.schema(as_text).option("header", "true").option(
-        "enforceSchema", "false"
-    )
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    frame = reader.csv(path)
-    hour = F.coalesce(
-        parse_timestamp("timestamp_hour"),
-        F.col("timestamp_hour").try_cast("timestamp_ntz"),
+    """CSV files matched by the names in their headers, whatever order or extras.
+
+    Files are read together per distinct header; the driver sees headers and paths.
+    """
+    lines = spark.read.option("pathGlobFilter", glob or "*").text(path)
+    first_name, *_ = schemas.FORECAST_COLUMNS
+    is_header = F.array_contains(F.split("value", '"?,"?'), first_name)
+    headers = (
+        lines.select("value", F.col("_metadata.file_path").alias("file"))
+        .where(is_header | F.startswith("value", F.lit(f'"{first_name}"')))
+        .groupBy("value")
+        .agg(F.collect_set("file").alias("files"))
+        .collect()
     )
-    return frame.withColumn("timestamp_hour", hour)
+    parts = [_csv_columns(spark, row.value, row.files) for row in headers]
+    empty = spark.createDataFrame([], schemas.FORECAST)
+    return reduce(DataFrame.unionByName, parts, empty)
+
+
+def _csv_columns(spark: SparkSession, header: str, files: list[str]) -> DataFrame:
+    """The forecast columns of files that share a header; absent ones are NULL."""
+    names = [name.strip().strip('"') for name in header.split(",")]
+    as_text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    frame = spark.read.schema(as_text).option("header", "true").csv(files)
+
+    def read(field: T.StructField) -> Column:
+        if field.name not in names:
+            return F.lit(None).cast(field.dataType)
+        if field.name == "timestamp_hour":
+            plain = F.col(field.name).try_cast("timestamp_ntz")
+            return F.coalesce(parse_timestamp(field.name), plain)
+        return F.col(field.name).try_cast(field.dataType)
+
+    return frame.select(*[read(field).alias(field.name) for field in schemas.FORECAST])
 
 
 def _forecast_parquet(
@@ -125,7 +141,7 @@ def read_forecast_file(spark: SparkSession, path: str) -> DataFrame:
         return _forecast_parquet(spark, path)
     if path.endswith(CSV_SUFFIXES):
         return _forecast_csv(spark, path)
-    raise ValueError(f"Unsupported file type for forecast data: {path}")
+    raise ValueError(f"Neither Parquet nor CSV by its suffix: {path}")
 
 
 def read_forecasts(spark: SparkSession, path: str) -> DataFrame:
@@ -138,7 +154,7 @@ def read_forecasts(spark: SparkSession, path: str) -> DataFrame:
     supported = r"\.(parquet|csv|out)$"
     odd = names.where(~F.col("path").rlike(supported)).first()
     if odd is not None:
-        raise ValueError(f"Unsupported file type for forecast data: {odd.path}")
+        raise ValueError(f"Neither Parquet nor CSV by its suffix: {odd.path}")
     return (
         _forecast_parquet(spark, path, "*.parquet")
         .unionByName(_forecast_csv(spark, path, "*.{csv,out}"), allowMissingColumns=True)

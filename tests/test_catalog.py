@@ -9,11 +9,11 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as entry_points
+from hourgrid.plans import catalog, oracle
 
 FOLDER = os.environ.get("HOURGRID_TEST_DATA", "/root/testdata/sf0.01")
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLE = oracle.SQL
 
 pytestmark = pytest.mark.skipif(
     not Path(FOLDER).is_dir(), reason="generated tables are not available"

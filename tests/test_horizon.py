@@ -3,24 +3,31 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
-from frames import history_panel, march_calendar, training_panel, weather_forecast
+from frames import (
+    FORECAST_START,
+    history_panel,
+    humidity,
+    temperature,
+    training_panel,
+    weather_forecast,
+    weekend_calendar,
+)
 from pyspark.sql import functions as F
 
 from hourgrid.config import INFERENCE_COLUMNS, TREE_FEATURES, FeatureSpec
 from hourgrid.operators import features, horizon
 from hourgrid.operators.rollup import calendar_daily
 
-START = "2024-03-11"
+START = "2025-08-11"
 
 
 def _features(spark, hours=72, **options):
     return horizon.inference_features(
         horizon.lookback(history_panel(spark), START, 7),
         horizon.hourly_weather_forecast(weather_forecast(spark), START, hours),
-        calendar_daily(march_calendar(spark)),
+        calendar_daily(weekend_calendar(spark)),
         START,
         hours,
-        7,
         **options,
     )
 
@@ -33,21 +40,21 @@ def test_one_row_per_building_and_hour(spark):
     result = _features(spark)
     assert tuple(result.columns) == INFERENCE_COLUMNS
     rows = _by_hour(result)
-    first = datetime(2024, 3, 11)
+    first = datetime(2025, 8, 11)
     assert sorted(rows) == [first + timedelta(hours=h) for h in range(72)]
 
 
 def test_first_hour_sees_history_forecast_and_calendar(spark):
-    row = _by_hour(_features(spark))[datetime(2024, 3, 11)]
-    yesterday = _by_hour(history_panel(spark))[datetime(2024, 3, 10)]
+    row = _by_hour(_features(spark))[datetime(2025, 8, 11)]
+    yesterday = _by_hour(history_panel(spark))[datetime(2025, 8, 10)]
     assert row.consumption_lag_24h == pytest.approx(yesterday.consumption_kwh)
-    assert row.temperature_c == pytest.approx(12 - 0.2 * 14)
-    assert row.humidity == 65.0
+    assert row.temperature_c == pytest.approx(temperature(FORECAST_START) + 1)
+    assert row.humidity == pytest.approx(humidity(FORECAST_START) - 2)
     assert (row.is_holiday_flag, row.day_of_week, row.hour_of_day) == (0, 2, 0)
 
 
 def test_lags_beyond_their_length_are_filled_or_kept_null(spark):
-    late = datetime(2024, 3, 13, 5)
+    late = datetime(2025, 8, 13, 5)
     assert _by_hour(_features(spark))[late].consumption_lag_24h == 0.0
     assert _by_hour(_features(spark, keep_null=True))[late].consumption_lag_24h is None
 
@@ -69,11 +76,11 @@ def test_horizon_ending_inside_a_day(spark):
 def test_training_and_inference_compute_the_same_features(spark):
     """Features of a known day, reached through both paths."""
     panel = training_panel(spark)
-    day = "2024-03-09"
+    day = "2025-08-09"
     columns = ["building_id", "timestamp_hour", *TREE_FEATURES]
     spec = FeatureSpec()
     trained = features.training_features(
-        panel, "2024-03-01", day, day, spec, columns
+        panel, "2025-08-01", day, day, spec, columns
     ).where(F.col("split") == "eval")
     known = panel.select(
         "building_id", "timestamp_hour", "temperature_c", "solar_irradiance_ghi", "humidity"
@@ -81,10 +88,9 @@ def test_training_and_inference_compute_the_same_features(spark):
     served = horizon.inference_features(
         horizon.lookback(panel, day, 8),
         known,
-        calendar_daily(march_calendar(spark)),
+        calendar_daily(weekend_calendar(spark)),
         day,
         24,
-        8,
         spec,
         columns,
     )
@@ -104,10 +110,9 @@ def test_building_without_forecast_weather_still_gets_rows(spark):
     result = horizon.inference_features(
         history,
         horizon.hourly_weather_forecast(weather_forecast(spark), START, 24),
-        calendar_daily(march_calendar(spark)),
+        calendar_daily(weekend_calendar(spark)),
         START,
         24,
-        14,
     )
     b2 = result.where("building_id = 'B2'").collect()
     assert len(b2) == 24

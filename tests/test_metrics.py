@@ -21,17 +21,17 @@ def _metrics(spark, pairs):
 
 
 def test_basic_values(spark):
-    row = _metrics(spark, [(10.0, 10.5), (11.0, 11.0), (12.0, 11.5), (10.0, 10.5)])
-    assert row.mae == pytest.approx(0.375)
-    assert row.rmse == pytest.approx(math.sqrt(0.75 / 4))
-    assert row.mape == pytest.approx((0.05 + 0 + 0.5 / 12 + 0.05) / 4 * 100)
-    assert row.n == 4
+    row = _metrics(spark, [(8.0, 6.0), (20.0, 23.0), (5.0, 5.0)])
+    assert row.mae == pytest.approx(5 / 3)
+    assert row.rmse == pytest.approx(math.sqrt(13 / 3))
+    assert row.mape == pytest.approx(40 / 3)
+    assert row.n == 3
 
 
 def test_zero_actuals_are_left_out_of_mape_only(spark):
-    row = _metrics(spark, [(10.0, 10.5), (0.0, 0.5), (12.0, 11.5), (0.0, 0.1)])
-    assert row.mae == pytest.approx(0.4)
-    assert row.mape == pytest.approx((0.05 + 0.5 / 12) / 2 * 100)
+    row = _metrics(spark, [(0.0, 3.0), (40.0, 30.0), (0.0, 2.0)])
+    assert row.mae == pytest.approx(5.0)
+    assert row.mape == pytest.approx(25.0)
 
 
 def test_missing_values_count_as_zero(spark):

@@ -21,7 +21,7 @@ from hourgrid.models.trend_seasonal import (
     plan_layout,
 )
 
-START = datetime(2024, 3, 1)
+START = datetime(2025, 8, 1)
 FRAME = "building_id string, timestamp_hour timestamp_ntz, consumption_kwh double"
 
 

@@ -10,7 +10,7 @@ import pytest
 from frames import (
     consumption,
     history_panel,
-    march_calendar,
+    weekend_calendar,
     solar,
     training_panel,
     weather,
@@ -25,13 +25,13 @@ from hourgrid.plans import pipelines
 from hourgrid.sources import readers, writers
 
 TRAIN_COLUMNS = ("building_id", "timestamp_hour", "consumption_kwh", *TREE_FEATURES)
-DAYS = ("2024-03-09", "2024-03-10")
+DAYS = ("2025-08-09", "2025-08-10")
 
 
 def _write_feeds(spark, folder):
     rng = random.Random(5)
     stamps = [
-        datetime(2024, 3, 8) + timedelta(minutes=20 * i, seconds=7) for i in range(72 * 4)
+        datetime(2025, 8, 8) + timedelta(minutes=20 * i, seconds=7) for i in range(72 * 4)
     ]
     text = [f"{s:%Y-%m-%d %H:%M:%S}" for s in stamps]
     feeds = {
@@ -40,7 +40,7 @@ def _write_feeds(spark, folder):
         ),
         "solar": solar(spark, *[("B1", t, 0.1) for t in text]),
         "weather": weather(spark, *[("B1", t, 10.0, 100.0, 50.0) for t in text]),
-        "calendar": march_calendar(spark),
+        "calendar": weekend_calendar(spark),
     }
     for name, feed in feeds.items():
         feed.write.json(f"{folder}/{name}")
@@ -91,7 +91,7 @@ def test_panel_table_is_registered(spark, tmp_path):
 def test_feature_sets_are_written_by_side(spark, tmp_path):
     panel = _stored_panel(spark, training_panel(spark), str(tmp_path / "panel"))
     target = str(tmp_path / "features")
-    args = ("2024-03-01", "2024-03-10", "2024-03-08")
+    args = ("2025-08-01", "2025-08-10", "2025-08-08")
     assert pipelines.run_feature_engineering(spark, panel, *args, target) == 432
     assert readers.read_features(spark, f"{target}/split=train").count() == 288
     assert readers.read_features(spark, f"{target}/split=eval").count() == 144
@@ -113,9 +113,9 @@ def test_zoned_panels_keep_their_wall_clock(spark, tmp_path):
         "timestamp_hour", F.col("timestamp_hour").cast("timestamp")
     )
     zoned.write.partitionBy("year", "month", "day").parquet(path)
-    panel = readers.read_panel(spark, path, "2024-03-01", "2024-03-01")
+    panel = readers.read_panel(spark, path, "2025-08-01", "2025-08-01")
     assert dict(panel.dtypes)["timestamp_hour"] == "timestamp_ntz"
-    assert panel.agg(F.min("timestamp_hour")).first()[0] == datetime(2024, 3, 1)
+    assert panel.agg(F.min("timestamp_hour")).first()[0] == datetime(2025, 8, 1)
 
 
 @pytest.fixture
@@ -134,7 +134,7 @@ def inputs(spark, tmp_path):
     )
     shifted.write.json(forecast)
     calendar = str(tmp_path / "calendar")
-    march_calendar(spark).write.json(calendar)
+    weekend_calendar(spark).write.json(calendar)
     panel = _stored_panel(spark, training_panel(spark, 30), str(tmp_path / "panel"))
     return {"panel": panel, "forecast": forecast, "calendar": calendar}
 
@@ -154,9 +154,9 @@ def test_train_evaluate_register_and_publish(spark, tmp_path, inputs, strategy,
     rows = pipelines.run_feature_engineering(
         spark,
         inputs["panel"],
-        "2024-03-01",
-        "2024-03-30",
-        "2024-03-25",
+        "2025-08-01",
+        "2025-08-30",
+        "2025-08-25",
         path["features"],
         columns=TRAIN_COLUMNS,
     )
@@ -174,7 +174,7 @@ def test_train_evaluate_register_and_publish(spark, tmp_path, inputs, strategy,
     stored = json.loads(next(f.read_text() for f in files if f.stat().st_size))
     assert set(stored) == {"metrics", "num_eval_records", "status"}
 
-    run = pipelines.RunDetails("g", "run-1", datetime(2024, 3, 31), commit="c0ffee")
+    run = pipelines.RunDetails("g", "run-1", datetime(2025, 8, 31), commit="c0ffee")
     registered = pipelines.run_registration(
         spark, path["model"], evaluation, path["registry"], run, settings
     )
@@ -197,14 +197,14 @@ def test_train_evaluate_register_and_publish(spark, tmp_path, inputs, strategy,
         inputs["panel"],
         inputs["forecast"],
         inputs["calendar"],
-        "2024-03-31",
+        "2025-08-31",
         path["work"],
         path["measures"],
         columns=("building_id", "timestamp_hour", *TREE_FEATURES),
     )
     assert written == 2 * 72 * 3
     measures = spark.read.parquet(path["measures"])
-    served = publish.serve_forecast(measures, "B1", "2024-03-31", hours=72)
+    served = publish.serve_forecast(measures, "B1", "2025-08-31", hours=72)
     assert served.count() == 72
     assert served.where("measure_value IS NULL").isEmpty()
 
@@ -216,8 +216,8 @@ def test_missing_history_or_weather_gives_no_features(spark, tmp_path, inputs):
         )
 
     assert run("2025-01-01") is None  # no history
-    assert run("2024-03-20") is None  # no forecast weather
-    assert run("2024-03-31").count() == 144
+    assert run("2025-08-20") is None  # no forecast weather
+    assert run("2025-08-31").count() == 144
     assert not pipelines.run_inference_features(
         spark,
         inputs["panel"],
@@ -232,14 +232,14 @@ def test_missing_history_or_weather_gives_no_features(spark, tmp_path, inputs):
 def test_inference_features_from_files(spark, tmp_path):
     forecast, calendar = str(tmp_path / "forecast"), str(tmp_path / "calendar")
     weather_forecast(spark).write.json(forecast)
-    march_calendar(spark).write.json(calendar)
+    weekend_calendar(spark).write.json(calendar)
     panel = _stored_panel(spark, history_panel(spark), str(tmp_path / "panel"))
     result = pipelines.calculate_inference_features(
-        spark, panel, forecast, calendar, "2024-03-11", 72, 7
+        spark, panel, forecast, calendar, "2025-08-11", 72, 7
     )
     assert result.count() == 72
     last = result.agg(F.max("timestamp_hour")).first()[0]
-    assert last == datetime(2024, 3, 13, 23)
+    assert last == datetime(2025, 8, 13, 23)
 
 
 def test_evaluation_without_matches_reports_an_error(spark, tmp_path):
@@ -258,7 +258,7 @@ def test_evaluation_without_matches_reports_an_error(spark, tmp_path):
 def test_empty_or_missing_training_data_is_an_error(spark, tmp_path):
     empty = str(tmp_path / "empty")
     training_panel(spark, 1).limit(0).write.parquet(empty)
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no rows to train on"):
         pipelines.run_training(spark, "Prophet", empty, str(tmp_path / "model"))
     with pytest.raises(FileNotFoundError):
         pipelines.run_training(

@@ -9,9 +9,9 @@ from hourgrid.schemas import FORECAST
 from hourgrid.sources import readers, writers
 
 ROWS = [
-    ("B1", datetime(2024, 3, 11, 0), 20.1, 18.0, 22.0),
-    ("B1", datetime(2024, 3, 11, 1), 21.0, 19.0, None),
-    ("B2", datetime(2024, 3, 12, 0), 9.5, 8.0, 11.0),
+    ("B1", datetime(2025, 8, 11, 0), 20.1, 18.0, 22.0),
+    ("B1", datetime(2025, 8, 11, 1), 21.0, 19.0, None),
+    ("B2", datetime(2025, 8, 12, 0), 9.5, 8.0, 11.0),
 ]
 
 
@@ -25,8 +25,8 @@ def test_three_measures_per_row(forecasts):
     assert long.columns == ["time", "dim_building_id", "measure_name", "measure_value"]
     values = {(r.dim_building_id, r.time, r.measure_name): r.measure_value for r in long.collect()}
     assert len(values) == 9
-    assert values["B1", datetime(2024, 3, 11, 0), "forecast"] == 20.1
-    assert values["B1", datetime(2024, 3, 11, 1), "forecast_upper"] is None
+    assert values["B1", datetime(2025, 8, 11, 0), "forecast"] == 20.1
+    assert values["B1", datetime(2025, 8, 11, 1), "forecast_upper"] is None
 
 
 def test_rows_without_key_are_dropped(spark):
@@ -46,10 +46,10 @@ def test_stored_measures_serve_one_building_and_day(spark, forecasts, tmp_path):
     assert writers.write_measures(long, path) == 9  # a re-run replaces
     stored = spark.read.parquet(path)
     assert stored.count() == 9
-    served = publish.serve_forecast(stored, "B1", "2024-03-11")
+    served = publish.serve_forecast(stored, "B1", "2025-08-11")
     assert [r.measure_value for r in served.collect()] == [20.1, 21.0]
-    assert publish.serve_forecast(stored, "B1", "2024-03-11", limit=1).count() == 1
-    assert publish.serve_forecast(stored, "B1", "2024-03-12").isEmpty()
+    assert publish.serve_forecast(stored, "B1", "2025-08-11", limit=1).count() == 1
+    assert publish.serve_forecast(stored, "B1", "2025-08-12").isEmpty()
     plan = served._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
 
@@ -72,7 +72,7 @@ def test_rows_can_go_to_another_store(forecasts, tmp_path):
 
 def test_latest_hour(forecasts):
     (row,) = publish.latest_hour(forecasts).collect()
-    assert row.timestamp_hour == datetime(2024, 3, 12, 0)
+    assert row.timestamp_hour == datetime(2025, 8, 12, 0)
 
 
 def test_mixed_files_are_read_as_one_frame(spark, forecasts, tmp_path):
@@ -88,17 +88,33 @@ def test_csv_with_plain_timestamps(spark, tmp_path):
     file = tmp_path / "f.out"
     file.write_text(
         "building_id,timestamp_hour,yhat,yhat_lower,yhat_upper\n"
-        "B1,2024-03-11 00:00:00,1.5,1.0,2.0\n"
+        "B1,2025-08-11 00:00:00,1.5,1.0,2.0\n"
     )
     row = readers.read_forecast_file(spark, str(file)).first()
-    assert tuple(row) == ("B1", datetime(2024, 3, 11), 1.5, 1.0, 2.0)
+    assert tuple(row) == ("B1", datetime(2025, 8, 11), 1.5, 1.0, 2.0)
+
+
+def test_csv_columns_go_by_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        "yhat,building_id,note,yhat_upper,yhat_lower,timestamp_hour\n"
+        "7.5,N7,kept out,9.0,6.0,2025-06-02 03:00:00\n"
+    )
+    (tmp_path / "b.csv").write_text(
+        "building_id,timestamp_hour,yhat,yhat_lower,yhat_upper\n"
+        "N8,2025-06-02 04:00:00,1.0,0.5,2.0\n"
+    )
+    rows = sorted(map(tuple, readers.read_forecasts(spark, str(tmp_path)).collect()))
+    assert rows == [
+        ("N7", datetime(2025, 6, 2, 3), 7.5, 6.0, 9.0),
+        ("N8", datetime(2025, 6, 2, 4), 1.0, 0.5, 2.0),
+    ]
 
 
 def test_other_file_types_are_refused(spark, tmp_path):
     (tmp_path / "forecasts.xlsx").write_text("x")
-    with pytest.raises(ValueError, match="Unsupported file type"):
+    with pytest.raises(ValueError, match="Neither Parquet nor CSV"):
         readers.read_forecasts(spark, str(tmp_path))
-    with pytest.raises(ValueError, match="Unsupported file type"):
+    with pytest.raises(ValueError, match="Neither Parquet nor CSV"):
         readers.read_forecast_file(spark, "forecasts.xlsx")
 
 
@@ -116,7 +132,7 @@ def _registry(spark):
         ("a-1", "a", "Approved", day),
         ("a-2", "a", "Approved", later),
         ("a-3", "a", "Approved", later),
-        ("a-4", "a", "PendingManualApproval", datetime(2024, 3, 1)),
+        ("a-4", "a", "PendingManualApproval", datetime(2025, 8, 1)),
         ("b-1", "b", "PendingManualApproval", day),
     ]
     return spark.createDataFrame(
@@ -130,7 +146,7 @@ def test_latest_approved_prefers_newest_then_highest_id(spark):
     (row,) = registry.latest_approved(_registry(spark)).collect()
     assert row.model_package_id == "a-3"
     assert registry.require_latest_approved(_registry(spark), "a").model_package_id == "a-3"
-    with pytest.raises(ValueError, match="No approved model found in group b"):
+    with pytest.raises(ValueError, match="Group b holds no approved entry"):
         registry.require_latest_approved(_registry(spark), "b")
 
 
@@ -148,7 +164,7 @@ def test_registry_rows(spark):
         scores,
         group="g",
         run_id="r",
-        created_at=datetime(2024, 3, 1),
+        created_at=datetime(2025, 8, 1),
         commit="c0ffee",
         hyperparameters={"xgb_eta": "0.1"},
     )
