@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline
-from hourgrid.llm import bpe, quality
+from hourgrid.llm import bpe, jaccard, quality, simhash
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -22,3 +24,59 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, FOLDER)
         assert docs.count() == 0
+
+
+def _alike(a: str, b: str) -> float:
+    x, y = (set(jaccard.shingles(t.encode()).tolist()) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_beyond_four_bits(spark):
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(500)]
+    rows, far, chained = [], 0, []
+    for i in range(40):
+        words = rng.choices(vocabulary, k=150)
+        # Edits at the end: 0.86 to the original, then under 0.8.
+        near, less = " ".join(words[:140] + ["new"] * 6), " ".join(words[:118])
+        rows += [(3 * i, " ".join(words)), (3 * i + 1, near), (3 * i + 2, less)]
+        assert _alike(rows[-3][1], near) >= 0.8 > max(_alike(rows[-3][1], less), 0)
+        prints = [simhash.simhash(t.encode()) for t in (rows[-3][1], near)]
+        far += (prints[0] ^ prints[1]).bit_count() > simhash.MAX_BITS
+        chained.append(_alike(near, less) >= 0.8)
+    assert far > 10
+    rows += [(200, None), (201, " "), (202, "Two  words"), (203, "two words"), (None, "two words"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.near_dedup(spark, docs, FOLDER)
+    wanted = {3 * i for i in range(40)} | {3 * i + 2 for i in range(40) if not chained[i]} | {200, 202}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(wanted)
+
+
+def test_near_copies_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(7)
+    base = [f"w{rng.randint(0, 900)}" for _ in range(60)]
+    # A group under common keys whose members are often under 0.8 to its ends.
+    rows = [(i, r.text) for i, r in enumerate(docs.select("text").orderBy("doc_id").limit(300).collect())]
+    for i in range(300, 420):
+        words = list(base)
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(60)] = f"x{rng.randint(0, 50)}"
+        rows.append((i, " ".join(words)))
+    sets = [set(jaccard.shingles((t or "").encode()).tolist()) for _, t in rows]
+    group = list(range(len(rows)))
+
+    def root(i: int) -> int:
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = root(a), root(b)
+                group[max(x, y)] = min(x, y)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in jaccard.keep_one(frame).collect()}
+    assert kept == {root(i) for i in range(len(rows))}
