@@ -4,7 +4,7 @@ A candidate is a long run of key characters with a digit. Its features are lengt
 character transitions, dictionary coverage, path signs and neighbouring words, all in
 built-in expressions; the forest is Spark ML's. It is trained from labelled findings: a
 table of candidates with a label, by default candidates of the corpus that a narrow rule
-labels (``weak_label``), on a bounded sample.
+labels (``weak_label``), on a bounded sample of each label.
 """
 
 from __future__ import annotations
@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from hourgrid.llm.common import present, stored, words
 
 VALUE = "[A-Za-z0-9+/_-]{12,}"
-#: Labelled findings, in expectation, that the forest is trained on.
-SAMPLE_FINDINGS = 20_000
+#: Labelled findings of either label, in expectation, that the forest is trained on.
+SAMPLE_FINDINGS = 10_000
 SAMPLE_SEED = 3
+#: A label with fewer findings has each repeated, at a part of its weight, so that trees see them.
+LEAST_FINDINGS = 100
 TREES, DEPTH = 20, 6
 MASK = "[SECRET]"
 #: Words of names, and words that fill harmless identifiers.
@@ -126,9 +128,23 @@ def weak_label(rows: DataFrame) -> Column:
 
 
 def findings(rows: DataFrame) -> DataFrame:
-    """Labelled findings from featured candidates, on a bounded sample."""
-    share = min(1.0, SAMPLE_FINDINGS / max(rows.count(), 1))
-    return rows.sample(share, seed=SAMPLE_SEED).withColumn("label", weak_label(rows))
+    """Labelled findings from featured candidates, on a bounded sample of each label.
+
+    All candidates are labelled and counted first, so a label that is rare is kept whole
+    whatever the size of the table. ``weight`` restores the shares of the labels.
+    """
+    labelled = rows.withColumn("label", weak_label(rows))
+    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    share, copies = F.lit(1.0), F.lit(1)
+    for label, size in sizes.items():
+        own = F.col("label") == label
+        share = F.when(own, min(1.0, SAMPLE_FINDINGS / size)).otherwise(share)
+        copies = F.when(own, -(-LEAST_FINDINGS // size)).otherwise(copies)
+    sampled = labelled.withColumns({"_share": share, "_copies": copies}).where(
+        F.rand(SAMPLE_SEED) < F.col("_share")
+    )
+    weighed = sampled.withColumn("weight", 1 / (F.col("_share") * F.col("_copies")))
+    return weighed.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_share", "_copies", "_copy")
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text") -> DataFrame:
@@ -140,15 +156,15 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text")
     empty table gives none, and other columns are not looked at.
     """
     rows = stored(featured(candidates(docs, text)), "candidates")
-    known = findings(rows) if labelled is None else featured(labelled)
-    known = stored(known.select(*FEATURES, F.col("label").cast("double").alias("label")), "findings")
+    known = findings(rows) if labelled is None else featured(labelled).withColumn("weight", F.lit(1.0))
+    known = stored(known.select(*FEATURES, F.col("label").cast("double").alias("label"), "weight"), "findings")
     spread = known.agg(F.min("label").alias("low"), F.max("label").alias("high")).first()
     if spread["low"] == spread["high"]:
         scored = rows.withColumn("probability", F.lit(float(spread["high"] or 0.0)))
     else:
         vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
         forest = RandomForestClassifier(
-            numTrees=TREES, maxDepth=DEPTH, seed=SAMPLE_SEED, labelCol="label", probabilityCol="shares"
+            numTrees=TREES, maxDepth=DEPTH, seed=SAMPLE_SEED, labelCol="label", probabilityCol="shares", weightCol="weight"
         ).fit(vectors.transform(known))
         scored = forest.transform(vectors.transform(rows)).withColumn(
             "probability", vector_to_array("shares")[1]

@@ -247,6 +247,18 @@ def test_secrets(spark, docs, empty):
     assert secrets.scan(empty).count() == 0
 
 
+def test_rare_secrets_are_found(spark):
+    rng = random.Random(9)
+    plain = " ".join(f"id {rng.randint(10**15, 10**16)} http://a.org/x{rng.randint(10**9, 10**10)}/view" for _ in range(50))
+    rows = [(i, plain) for i in range(1000)]
+    key = "".join(rng.choices("0123456789abcdef", k=40))
+    rows += [(5000, "uses AKIA" + "".join(rng.choices("ABCDEFGH0123", k=15)) + "7 here"), (5001, f'a token = "{key}" flows')]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id for r in secrets.scan(frame).where("is_secret").collect()} == {5000, 5001}
+    masked = secrets.redact(frame).where("doc_id >= 5000").collect()
+    assert all(secrets.MASK in r.text for r in masked)
+
+
 def test_mixing(spark, docs, empty):
     rng = random.Random(3)
     rows, labels = [], []
