@@ -29,6 +29,8 @@ FEATURES, MIN_G2 = 512, 25.0
 #: Ridge penalty and steps of the logistic regression.
 PENALTY, FIT_STEPS = 0.002, 60
 STEPS, STEP_SIZE, TOLERANCE = 40, 1.0, 1e-6
+#: Rates of the main domain this near to 1 count as 1 where asked for.
+SNAP = 0.05
 #: Production targets: shares of the mixed tokens.
 TARGETS = {"q1t0": 0.93, "q0t0": 0.05, "q1t1": 0.01, "q0t1": 0.01}
 
@@ -192,7 +194,7 @@ def _rate(steps: list[list[float]], p: Column) -> Column:
 
 
 def rates(members: DataFrame, domains: list[str], targets: Mapping[str, float]) -> DataFrame:
-    """``members`` with ``rate``.
+    """``members`` with ``rate``, and ``main``: is the domain with most tokens the likeliest.
 
     Targets name shares of the mixed tokens; a domain without one gets none. The total is
     the least at which the domain with most tokens keeps all of them. Residuals are taken
@@ -201,7 +203,7 @@ def rates(members: DataFrame, domains: list[str], targets: Mapping[str, float])
     """
     count = len(domains)
     if not count:
-        return members.withColumn("rate", F.lit(1.0))
+        return members.withColumns({"rate": F.lit(1.0), "main": F.lit(True)})
     spots = range(count)
 
     def totals(rate: Column) -> list[float]:
@@ -220,7 +222,8 @@ def rates(members: DataFrame, domains: list[str], targets: Mapping[str, float])
         if max(map(abs, gaps)) < TOLERANCE:
             break
         steps.append(gaps)
-    return members.withColumn("rate", _rate(steps, F.col("p")))
+    main = F.col("p")[largest] >= F.array_max("p")
+    return members.withColumns({"rate": _rate(steps, F.col("p")), "main": main})
 
 
 def mixed(
@@ -228,13 +231,13 @@ def mixed(
     labels: DataFrame,
     targets: Mapping[str, float] = TARGETS,
     text: str = "text",
-    nearest: bool = False,
+    snap: bool = False,
 ) -> DataFrame:
     """doc_id, text_hash, tokens, p, rate, copies of every document.
 
     ``copies`` is the rate rounded up with a chance of its fraction, by a hash of id and
-    text, so expected totals stay on target; with ``nearest``, it is rounded half up, so
-    a document of the domain with most tokens is not lost by chance. Null and empty texts have no tokens and the rate of their posterior. Without
+    text, so expected totals stay on target; with ``snap``, rates of the main domain within
+    ``SNAP`` of 1 become 1 first, so its documents are not lost by a small chance. Null and empty texts have no tokens and the rate of their posterior. Without
     labelled documents every rate is 1. Repeated rows get equal rates; an empty table
     gives no rows, and other columns are not looked at.
     """
@@ -242,10 +245,11 @@ def mixed(
     model = fit(docs, labels, text)
     members = stored(posteriors(docs, model, text), "members")
     chance = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1_000_003)) / 1_000_003
-    chance = F.lit(0.5) if nearest else chance
-    return rates(members, model[0], targets).withColumn(
-        "copies", F.floor(F.col("rate") + chance).cast("long")
-    )
+    rated = rates(members, model[0], targets)
+    if snap:
+        near = F.col("main") & (F.abs(F.col("rate") - 1) <= SNAP)
+        rated = rated.withColumn("rate", F.when(near, 1.0).otherwise(F.col("rate")))
+    return rated.drop("main").withColumn("copies", F.floor(F.col("rate") + chance).cast("long"))
 
 
 def mix(
@@ -253,11 +257,11 @@ def mix(
     labels: DataFrame,
     targets: Mapping[str, float] = TARGETS,
     text: str = "text",
-    nearest: bool = True,
+    snap: bool = True,
 ) -> DataFrame:
     """The documents, each as often as its copies say, with the columns of ``docs``."""
     chosen = (
-        mixed(docs, labels, targets, text, nearest)
+        mixed(docs, labels, targets, text, snap)
         .where("copies > 0")
         .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), "copies")
         .dropDuplicates(["_id", "_h"])

@@ -285,6 +285,23 @@ def test_mixing(spark, docs, empty):
     assert mixing.mixed(empty, table).count() == 0
 
 
+def test_mixing_thins_a_domain_instead_of_removing_it(spark):
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(2000):
+        toxic = i % 8 == 0
+        rows.append((i, " ".join(rng.choices(WORDS, k=30) + (["vile", "nasty"] if toxic else []))))
+        labels.append((i, 1, int(toxic)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    out = mixing.mix(frame, table, {"q1t0": 0.97, "q1t1": 0.03}).collect()
+    tokens = Counter()
+    for r in out:
+        tokens["vile" in r.text] += len(r.text.split())
+    assert {r.doc_id for r in out} >= {i for i in range(2000) if i % 8}
+    assert tokens[True] / tokens.total() == pytest.approx(0.03, abs=0.01)
+
+
 def test_brown_base(docs, empty):
     found = brown.score(docs).collect()
     rows = [(i, _words(_lower(t))) for i, t in _texts()]
