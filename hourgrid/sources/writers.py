@@ -97,12 +97,38 @@ def write_panel(
         inside = F.to_date("timestamp_hour").between(*(F.lit(d).cast("date") for d in days))
         rank = F.when(inside, 2).otherwise(0)
         keys = ("building_id", "timestamp_hour")
+        # Both writes take the panel from here, so raw feeds are read once.
+        staged = scratch_path(panel.sparkSession, "panel")
+        panel.write.parquet(staged)
+        panel = panel.sparkSession.read.schema(panel.schema).parquet(staged)
+        write_late(panel.where(~F.coalesce(inside, F.lit(False))), path, days)
         rows = _merge_partitions(panel, path, PANEL_PARTITIONS, keys, rank, inside)
     if table:
         register_panel(panel.sparkSession, path, table, panel.select(*PANEL_COLUMNS))
     return rows
 
 
+def late_path(path: str) -> str:
+    return f"{path.rstrip('/')}_late"
+
+
+def write_late(rows: DataFrame, path: str, days: tuple[str, str]) -> None:
+    """Set a run's rows of other days and without an hour aside, next to the panel.
+
+    ``reason`` says which, and ``run_first`` and ``run_last`` name the run's days. A
+    repeated run with such rows replaces its own; those of other runs stay.
+    """
+    if rows.isEmpty():
+        return
+    hour = F.col("timestamp_hour")
+    kept = rows.select(
+        *PANEL_COLUMNS,
+        F.when(hour.isNull(), "no hour").otherwise("other day").alias("reason"),
+        *(F.lit(d).alias(name) for d, name in zip(days, ("run_first", "run_last"), strict=True)),
+    )
+    _write_partitions(kept, late_path(path), ("run_first", "run_last"))
+
+
 def register_panel(
     spark: SparkSession, path: str, table: str, columns: DataFrame
 ) -> None:

@@ -38,6 +38,23 @@ def test_rows_without_an_hour_stay(spark, tmp_path):
     assert {r.building_id for r in spark.read.parquet(path).collect()} == {"N7", "N8"}
 
 
+def test_late_rows_and_rows_without_an_hour_are_set_aside(spark, tmp_path):
+    path = str(tmp_path / "panel")
+    at = datetime(2025, 6, 2, 23)
+    writers.write_panel(_panel(spark, [("N7", at, 3.0), ("N7", None, 1.0)]), path, days=("2025-06-02", "2025-06-02"))
+    second = [("N7", at, 0.5), ("N7", at + timedelta(hours=1), 4.0), ("N7", None, 2.0)]
+    for _ in range(2):
+        writers.write_panel(_panel(spark, second), path, days=("2025-06-03", "2025-06-03"))
+    late = spark.read.parquet(writers.late_path(path))
+    assert sorted((r.consumption_kwh, r.reason, str(r.run_first)) for r in late.collect()) == [
+        (0.5, "other day", "2025-06-03"),
+        (1.0, "no hour", "2025-06-02"),
+        (2.0, "no hour", "2025-06-03"),
+    ]
+    stored = spark.read.parquet(path)
+    assert stored.where("timestamp_hour = '2025-06-02 23:00:00'").first().consumption_kwh == 3.0
+
+
 def test_republishing_one_building_keeps_the_other(spark, tmp_path):
     path = str(tmp_path / "measures")
     at = datetime(2025, 6, 2, 8)
