@@ -9,13 +9,14 @@ labels (``weak_label``), on a bounded sample of each label.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.llm.common import present, stored, words
+from hourgrid.session import scratch_path
 
 VALUE = "[A-Za-z0-9+/_-]{12,}"
 #: Labelled findings of either label, in expectation, that the forest is trained on.
@@ -163,9 +164,14 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text")
         scored = rows.withColumn("probability", F.lit(float(spread["high"] or 0.0)))
     else:
         vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        forest = RandomForestClassifier(
+        fitted = RandomForestClassifier(
             numTrees=TREES, maxDepth=DEPTH, seed=SAMPLE_SEED, labelCol="label", probabilityCol="shares", weightCol="weight"
         ).fit(vectors.transform(known))
+        # A fitted forest holds its training summary and through it the session, which tasks
+        # cannot take along; the stored one does not.
+        path = scratch_path(docs.sparkSession, "forest")
+        fitted.save(path)
+        forest = RandomForestClassificationModel.load(path)
         scored = forest.transform(vectors.transform(rows)).withColumn(
             "probability", vector_to_array("shares")[1]
         )
@@ -181,23 +187,27 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text")
 
 
 def redact(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text") -> DataFrame:
-    """The documents with every secret masked; other columns stay as they are."""
+    """The documents with every secret masked; other columns stay as they are, whatever their names."""
     found = (
         scan(docs, labelled, text)
         .where("is_secret")
-        .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"))
-        .agg(F.collect_set("value").alias("_values"))
+        .groupBy("doc_id", "text_hash")
+        .agg(F.collect_set("value").alias("values"))
+        .select(F.struct("doc_id", "text_hash", "values").alias("_secret"))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (
-        F.xxhash64(present(F.col(text))) == F.col("_h")
+    # The documents travel as one struct, so none of their columns meets one of ours.
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"))
+    held, secret = F.col("_doc"), F.col("_secret")
+    same = held["doc_id"].eqNullSafe(secret["doc_id"]) & (
+        F.xxhash64(present(held[text])) == secret["text_hash"]
     )
     # Longer values first, so that none is cut by one that it contains.
     longest = F.reverse(
-        F.array_sort(F.transform("_values", lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))))
+        F.array_sort(F.transform(secret["values"], lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))))
     )
     masked = F.aggregate(
-        longest, F.col(text), lambda held, entry: F.replace(held, entry["v"], F.lit(MASK))
+        longest, held[text], lambda clean, entry: F.replace(clean, entry["v"], F.lit(MASK))
     )
-    joined = docs.join(found, same, "left")
-    clean = F.when(F.col("_values").isNull(), F.col(text)).otherwise(masked).alias(text)
-    return joined.select(*(clean if c == text else F.col(c) for c in docs.columns))
+    joined = rows.join(found, same, "left")
+    clean = F.when(secret.isNull(), held[text]).otherwise(masked)
+    return joined.select(*((clean if c == text else held[c]).alias(c) for c in docs.columns))

@@ -15,6 +15,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 
 from hourgrid.llm import (
     bpe,
@@ -29,6 +30,7 @@ from hourgrid.llm import (
     tokencounts,
     urls,
 )
+from hourgrid.sources import writers
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, value int"
 WORDS = "river stone amber quiet lantern meadow copper signal winter harbour violet engine".split()
@@ -247,6 +249,17 @@ def test_secrets(spark, docs, empty):
     assert secrets.scan(empty).count() == 0
 
 
+def test_secrets_after_a_writer_used_the_session(spark, tmp_path):
+    key = "".join(random.Random(3).choices("0123456789abcdef", k=40))
+    rows = [(i, f'stone token = "{key}{i}" x' if i % 2 else f"paid {10**15 + i} here", [f"v{i}"]) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _values array<string>").repartition(8)
+    days = spark.range(40).selectExpr("id", "2024 AS year", "1 AS month", "1 AS day")
+    writers._write_partitions(days, str(tmp_path / "days"), ("year", "month", "day"))
+    masked = secrets.redact(frame.withColumns({"_id": F.lit(1), "_h": F.lit(2)})).collect()
+    assert len(masked) == 4000
+    assert all((secrets.MASK in r.text) == bool(r.doc_id % 2) and r._values == [f"v{r.doc_id}"] for r in masked)
+
+
 def test_rare_secrets_are_found(spark):
     rng = random.Random(9)
     plain = " ".join(f"id {rng.randint(10**15, 10**16)} http://a.org/x{rng.randint(10**9, 10**10)}/view" for _ in range(50))
