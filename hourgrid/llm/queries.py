@@ -1,24 +1,27 @@
-"""The ten operators over their whole tables, and the SQL that states them where it can."""
+"""The dealt operators over their whole tables, and the SQL that states them where it can."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.llm import (
     bpe,
     brown,
     langid,
+    manifest,
     merkle,
     mixing,
     quality,
+    runs,
     secrets,
     simhash,
     tokencounts,
     urls,
 )
+from hourgrid.llm.common import present, words
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +79,58 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.audit(_table(spark, sf_dir, "documents"))
+
+
+def looped(doc_id: Column, text: Column) -> Column:
+    """A tenth of the texts (by the crc32 of the id; a null id counts as empty text) loops.
+
+    From word a on, such a text repeats its next p words to its own end.
+    """
+    h = F.crc32(present(doc_id))
+    g = F.floor(h / 10)
+
+    def loop(found: Column) -> Column:
+        n = F.size(found).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        a, p, left = a.cast("int"), p.cast("int"), (n - a).cast("int")
+        cycle = F.array_repeat(F.slice(found, a + 1, p), F.ceil(left / p).cast("int"))
+        whole = F.concat(F.slice(found, F.lit(1), a), F.slice(F.flatten(cycle), F.lit(1), left))
+        return F.when(n > 0, F.array_join(whole, " ")).otherwise(present(text))
+
+    # One array of one array: the words are split once, not once per use.
+    return F.when(h % 10 == 0, F.transform(F.array(words(text)), loop)[0]).otherwise(present(text))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = runs.periodic_runs(docs.select("doc_id", looped(F.col("doc_id"), F.col("text")).alias("text")))
+    # Greatest length first, then the smallest start and period.
+    best = F.get(
+        F.array_sort(
+            F.transform(
+                "runs",
+                lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")),
+            )
+        ),
+        F.lit(0),
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        (-best["less"]).alias("length"),
+        best["period"].alias("period"),
+        F.floor(-1000 * best["less"] / best["period"]).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -89,6 +144,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_brown,
         op10_urls,
+        op12_manifest,
+        op13_runs,
     )
 }
 #: Windows that occur again are found by grouping all windows of all texts by text and
