@@ -11,6 +11,7 @@ from hourgrid.llm import (
     bpe,
     brown,
     langid,
+    licenses,
     manifest,
     merkle,
     mixing,
@@ -79,6 +80,26 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    starts = F.transform("places", lambda p: p["start"].cast("long"))
+    base, more = (F.transform(name, lambda x: x["label"]) for name in ("places", "spans"))
+
+    def listed(labels: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        listed(base).alias("base_labels"),
+        listed(F.concat(base, more)).alias("labels"),
+        "score",
+    )
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.audit(_table(spark, sf_dir, "documents"))
 
@@ -144,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_brown,
         op10_urls,
+        op11_licenses,
         op12_manifest,
         op13_runs,
     )
