@@ -22,7 +22,8 @@ from hourgrid.operators import features as feature_ops
 from hourgrid.operators import horizon, metrics, publish, registry, rollup
 from hourgrid.operators.panel import build_panel
 from hourgrid.operators.panel import panel_range as panel_between
-from hourgrid.schemas import FORECAST_COLUMNS
+from hourgrid.plans import pipelines
+from hourgrid.schemas import FORECAST_COLUMNS, PANEL
 from hourgrid.session import scratch_path
 from hourgrid.sources import event_feeds, readers, writers
 
@@ -36,6 +37,14 @@ INFERENCE_START, HORIZON, LOOKBACK = "2024-01-28", 72, 14
 TREND_ORIGIN = "2024-01-01"
 SERVED_BUILDING = "B1"
 TIE_NUDGE = 2.5e-10
+WHOLE_RANGE = ("2000-01-01", "2099-12-31")
+INGEST_RUNS = (
+    ("2024-01-11", "2024-01-20"),
+    ("2000-01-01", "2024-01-10"),
+    ("2024-01-11", "2024-01-20"),
+    ("2024-01-21", "2099-12-31"),
+)
+LATE_SECONDS, BROKEN_SECOND = 7, "13"
 REGISTRY_RUN = {
     "group": "demand-forecaster",
     "run_id": "run-1",
@@ -122,6 +131,60 @@ def panel_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(readers.read_panel(spark, path, RANGE_START, RANGE_END))
 
 
+def _misfiled(raw: DataFrame) -> DataFrame:
+    """The feed with every seventh second's records filed one to three days late."""
+    late = F.substring("timestamp_str", 18, 2).cast("int") % LATE_SECONDS
+    filed = F.date_add(F.col("date_partition_col").cast("date"), F.when(late == 0, F.col("_late")).otherwise(0))
+    rows = raw.withColumn("_late", 1 + F.substring("timestamp_str", 15, 2).cast("int") % 3)
+    return rows.withColumn("date_partition_col", filed.cast("string")).drop("_late")
+
+
+def panel_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Late records, ingested by source days out of order and twice: still the whole panel."""
+    feeds = event_feeds.raw_feeds(spark, folder)
+    misfiled = [
+        _stored(_misfiled(raw), "misfiled") for raw in (feeds.consumption, feeds.solar, feeds.weather)
+    ]
+    path = scratch_path(spark, "panel")
+    for days in INGEST_RUNS:
+        own = [rollup.between_dates(raw, *days) for raw in misfiled]
+        pipelines.ingest_feeds(*own, feeds.calendar, *days, path)
+    return _rounded(spark.read.schema(PANEL).parquet(path))
+
+
+def _json_ingest(spark: SparkSession, folder: str) -> str:
+    """Feeds as JSON files, a part of the consumption lines broken in two, ingested."""
+    feeds = event_feeds.raw_feeds(spark, folder)
+    base = scratch_path(spark, "feeds")
+    paths = []
+    for name in ("consumption", "solar", "weather", "calendar"):
+        feed = getattr(feeds, name)
+        lines = feed.select(F.to_json(F.struct(*feed.columns)).alias("value"))
+        if name == "consumption":
+            # A line with its day in sight, cut off before its value: it adds to no hour.
+            broken = F.when(
+                F.substring("timestamp_str", 18, 2) == BROKEN_SECOND,
+                F.concat(F.lit('{"date_partition_col":"'), "date_partition_col", F.lit('","aggregated_kwh":')),
+            )
+            whole = F.to_json(F.struct(*feed.columns))
+            lines = feed.select(F.explode(F.array_compact(F.array(whole, broken))).alias("value"))
+        lines.write.text(f"{base}/{name}")
+        paths.append(f"{base}/{name}")
+    path = scratch_path(spark, "panel")
+    pipelines.run_ingest(spark, *paths, *WHOLE_RANGE, path)
+    return path
+
+
+def json_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(spark.read.schema(PANEL).parquet(_json_ingest(spark, folder)))
+
+
+def json_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    path = writers.rejects_path(_json_ingest(spark, folder))
+    lines = spark.read.schema("feed string, line string, read string, source_day string").parquet(path)
+    return lines.groupBy("feed", "source_day").agg(F.count("line").alias("n"))
+
+
 # --- Features -----------------------------------------------------------------
 
 
@@ -382,6 +445,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         panel,
         panel_range,
         panel_roundtrip,
+        panel_incremental,
+        json_ingest,
+        json_rejects,
         time_features,
         interaction_feature,
         lag_features,

@@ -309,6 +309,16 @@ FROM ev WHERE event_type IN ('click', 'view', 'purchase')
     "panel": _sql(_TO_PANEL, _PANEL_SELECT),
     "panel_range": _sql(_TO_PANEL, _PANEL_RANGE),
     "panel_roundtrip": _sql(_TO_PANEL, _PANEL_RANGE),
+    "panel_incremental": _sql(_TO_PANEL, _PANEL_SELECT),
+    "json_ingest": _sql(_TO_PANEL, _PANEL_SELECT),
+    "json_rejects": _sql(
+        (_EVENTS,),
+        f"""
+SELECT 'consumption' AS feed, CAST(event_date AS VARCHAR) AS source_day, count(*) AS n
+FROM ev WHERE event_type IN ('click', 'view', 'purchase')
+  AND substr(timestamp_str, 18, 2) = '{c.BROKEN_SECOND}'
+GROUP BY ALL""",
+    ),
     "time_features": _sql(
         _TO_PANEL,
         """

@@ -10,10 +10,13 @@ import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from hourgrid import schemas
 from hourgrid.config import (
     HORIZON_HOURS,
     INFERENCE_COLUMNS,
@@ -30,10 +33,12 @@ from hourgrid.models.store import (
     load_forecaster,
     model_type_of,
 )
+from hourgrid.operators import contributions as contribution_ops
 from hourgrid.operators import features as feature_ops
 from hourgrid.operators import horizon, metrics, publish, registry
 from hourgrid.operators.panel import build_panel
 from hourgrid.operators.rollup import calendar_daily
+from hourgrid.session import scratch_path
 from hourgrid.sources import readers, writers
 
 logger = logging.getLogger(__name__)
@@ -59,6 +64,49 @@ def process_panel(
     )
 
 
+def ingest_feeds(
+    consumption: DataFrame,
+    solar: DataFrame,
+    weather: DataFrame,
+    calendar: DataFrame,
+    start: str,
+    end: str,
+    destination: str,
+    table: str | None = None,
+) -> int:
+    """Replace what the source days ``start`` to ``end`` contribute to the stored panel.
+
+    The feeds hold records of these source days, which may be late: of hours on other
+    days. Every hour day that a record concerns, or did before, is merged again from the
+    contributions of all source days, so daily runs in any order, repeated or not, give the
+    panel of one run over everything. Returns the rows of the merged days.
+    """
+    rows, _ = _ingest([consumption, solar, weather], calendar, (start, end), destination, table)
+    return rows
+
+
+def _ingest(
+    feeds: Sequence[DataFrame],
+    calendar: DataFrame,
+    days: tuple[str, str],
+    destination: str,
+    table: str | None,
+) -> tuple[int, int]:
+    """The rows of the merged days, and the number of lines that are no records."""
+    made = contribution_ops.contributions(*feeds)
+    spark = made.sparkSession
+    staged = scratch_path(spark, "contributions")
+    made.write.parquet(staged)
+    kept = spark.read.schema(made.schema).parquet(staged)
+    bad = kept.agg(F.sum("rejected")).first()[0] or 0
+    writers.write_contributions(kept.where(F.col("source_day").isNotNull()), destination, days)
+    dates = calendar_daily(calendar)
+    rows = writers.merge_pending(
+        spark, destination, lambda parts: contribution_ops.merged_panel(parts, dates), table
+    )
+    return rows, bad
+
+
 def run_ingest(
     spark: SparkSession,
     consumption_path: str,
@@ -70,11 +118,27 @@ def run_ingest(
     destination: str,
     table: str | None = None,
 ) -> int:
-    """Build the panel of some days and replace those days in the stored panel."""
-    panel = process_panel(
-        spark, consumption_path, solar_path, weather_path, calendar_path, start, end
-    )
-    rows = writers.write_panel(panel, destination, table, (start, end))
+    """Ingest the JSON feeds of some source days (``ingest_feeds``), with their rejects.
+
+    Lines that are no records are counted while the records are read; only if there are
+    any is a second pass made, which sets them aside by source day.
+    """
+    days = (start, end)
+    day = F.col("date_partition_col")
+    feeds = {
+        name: readers.read_feed(spark, path, schema).where(day.between(*days) | day.isNull())
+        for name, path, schema in (
+            ("consumption", consumption_path, schemas.RAW_CONSUMPTION),
+            ("solar", solar_path, schemas.RAW_SOLAR),
+            ("weather", weather_path, schemas.RAW_WEATHER),
+        )
+    }
+    calendar = readers.read_calendar(spark, calendar_path)
+    rows, bad = _ingest(list(feeds.values()), calendar, days, destination, table)
+    lines = reduce(DataFrame.unionByName, (readers.rejected(f, name) for name, f in feeds.items()))
+    if bad:
+        logger.warning("%d lines are no records", bad)
+    writers.write_rejects(lines if bad else lines.limit(0), destination, days)
     if rows == 0:
         logger.warning("No panel rows for %s to %s", start, end)
     return rows

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from hourgrid import schemas
 from hourgrid.functions.clock import as_datetime, parse_timestamp
+from hourgrid.operators.contributions import CORRUPT
 from hourgrid.operators.rollup import between_dates
 from hourgrid.schemas import PANEL_PARTITIONS
 
@@ -24,6 +25,34 @@ def _json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def read_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A feed's records, and its corrupt lines in ``CORRUPT``, with the day they show."""
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    lines = (
+        spark.read.schema(kept)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(path)
+    )
+    shown = F.nullif(F.regexp_extract(CORRUPT, r'"date_partition_col"\s*:\s*"([^"]*)"', 1), F.lit(""))
+    return lines.withColumn("date_partition_col", F.coalesce("date_partition_col", shown))
+
+
+def rejected(feed: DataFrame, name: str) -> DataFrame:
+    """Lines that are no records, with what could be read of them as JSON.
+
+    Naming every field also keeps the scan from leaving columns out: a line is only known
+    to be corrupt if its bad field is parsed.
+    """
+    fields = [c for c in feed.columns if c != CORRUPT]
+    return feed.where(F.col(CORRUPT).isNotNull()).select(
+        F.lit(name).alias("feed"),
+        F.col(CORRUPT).alias("line"),
+        F.to_json(F.struct(*fields)).alias("read"),
+        F.col("date_partition_col").alias("source_day"),
+    )
+
+
 def read_consumption(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
     return between_dates(_json(spark, path, schemas.RAW_CONSUMPTION), start, end)
 

@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.schemas import PANEL_COLUMNS, PANEL_PARTITIONS
+from hourgrid.operators.contributions import PARTITIONS, SCHEMA
+from hourgrid.schemas import PANEL_PARTITIONS, PANEL_VALUES
 from hourgrid.session import scratch_path
 
 
@@ -78,69 +79,158 @@ def _merge_partitions(
     return fresh.count()
 
 
-def write_panel(
-    panel: DataFrame,
-    path: str,
-    table: str | None = None,
-    days: tuple[str, str] | None = None,
-) -> int:
-    """Write the panel by day; with ``table``, register it and its new days.
-
-    With ``days``, first and last, the hours of these days are replaced. Of other days,
-    and of rows without an hour, stored rows stay and missing ones are added: a late
-    record then never stands in for a whole hour. Ingesting both days together adds it
-    to its hour. Without ``days`` the partitions that the panel holds are replaced.
-    """
-    if days is None:
-        rows = _write_partitions(panel, path, PANEL_PARTITIONS)
-    else:
-        inside = F.to_date("timestamp_hour").between(*(F.lit(d).cast("date") for d in days))
-        rank = F.when(inside, 2).otherwise(0)
-        keys = ("building_id", "timestamp_hour")
-        # Both writes take the panel from here, so raw feeds are read once.
-        staged = scratch_path(panel.sparkSession, "panel")
-        panel.write.parquet(staged)
-        panel = panel.sparkSession.read.schema(panel.schema).parquet(staged)
-        write_late(panel.where(~F.coalesce(inside, F.lit(False))), path, days)
-        rows = _merge_partitions(panel, path, PANEL_PARTITIONS, keys, rank, inside)
+def write_panel(panel: DataFrame, path: str, table: str | None = None) -> int:
+    """Replace the days that the panel holds; with ``table``, register it and these days."""
+    rows = _write_partitions(panel, path, PANEL_PARTITIONS)
     if table:
-        register_panel(panel.sparkSession, path, table, panel.select(*PANEL_COLUMNS))
+        days = _partition_values(panel.select(*PANEL_PARTITIONS))
+        register_panel(panel.sparkSession, path, table, days, [])
     return rows
 
 
-def late_path(path: str) -> str:
-    return f"{path.rstrip('/')}_late"
+# --- Ingest by source day ---------------------------------------------------------
 
 
-def write_late(rows: DataFrame, path: str, days: tuple[str, str]) -> None:
-    """Set a run's rows of other days and without an hour aside, next to the panel.
+def contributions_path(path: str) -> str:
+    return f"{path.rstrip('/')}_contributions"
 
-    ``reason`` says which, and ``run_first`` and ``run_last`` name the run's days. A
-    repeated run with such rows replaces its own; those of other runs stay.
-    """
-    if rows.isEmpty():
-        return
-    hour = F.col("timestamp_hour")
-    kept = rows.select(
-        *PANEL_COLUMNS,
-        F.when(hour.isNull(), "no hour").otherwise("other day").alias("reason"),
-        *(F.lit(d).alias(name) for d, name in zip(days, ("run_first", "run_last"), strict=True)),
+
+def pending_path(path: str) -> str:
+    return f"{path.rstrip('/')}_pending"
+
+
+def rejects_path(path: str) -> str:
+    return f"{path.rstrip('/')}_rejects"
+
+
+def _partition_values(rows: DataFrame) -> list[tuple]:
+    """Distinct partition values of a run: calendar days, so a short list."""
+    return [tuple(row) for row in rows.distinct().collect()]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the table's own file system, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def _partition_folder(path: str, names: tuple[str, ...], values: tuple) -> str:
+    parts = (
+        f"{name}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+        for name, value in zip(names, values, strict=True)
     )
-    _write_partitions(kept, late_path(path), ("run_first", "run_last"))
+    return "/".join([path.rstrip("/"), *parts])
+
+
+def _replace_scope(
+    frame: DataFrame, path: str, partitions: tuple[str, ...], scope: Column
+) -> list[tuple]:
+    """Replace every stored partition in ``scope`` by the frame's, also by nothing.
+
+    Returns the partitions that were or are there. ``frame`` must be a stored table. A run
+    that fails between the write and the removal is mended by repeating it.
+    """
+    spark = frame.sparkSession
+    old = _stored(spark, path, frame)
+    before = [] if old is None else _partition_values(old.where(scope).select(*partitions))
+    now = _partition_values(frame.select(*partitions))
+    if now:
+        _write_partitions(frame, path, partitions)
+    for gone in set(before) - set(now):
+        _remove(spark, _partition_folder(path, partitions, gone))
+    return list(set(before) | set(now))
+
+
+def _source_days(days: tuple[str, str]) -> Column:
+    return F.col("source_day").between(*days)
+
+
+def write_contributions(kept: DataFrame, path: str, days: tuple[str, str]) -> None:
+    """Replace what the source days ``days`` contribute to the panel at ``path``.
+
+    The hour days that had or have contributions of them are noted as pending first, so a
+    run that fails half way leaves a list of what a later run has to merge again.
+    """
+    spark = kept.sparkSession
+    target = contributions_path(path)
+    old = _stored(spark, target, kept)
+    touched = kept.select("hour_day")
+    if old is not None:
+        touched = touched.unionByName(old.where(_source_days(days)).select("hour_day"))
+    touched.distinct().coalesce(1).write.mode("append").parquet(pending_path(path))
+    _replace_scope(kept, target, PARTITIONS, _source_days(days))
+
+
+def merge_pending(
+    spark: SparkSession,
+    path: str,
+    merge: Callable[[DataFrame], DataFrame],
+    table: str | None = None,
+) -> int:
+    """Merge the pending days from all contributions into the panel; returns their rows.
+
+    Only these days' partitions of the contributions are read, whatever source day they
+    are filed under. A day without contributions left is removed from the panel.
+    """
+    pending = spark.read.schema("hour_day date").parquet(pending_path(path)).distinct()
+    days = [row.hour_day for row in pending.collect()]
+    if not days:
+        _remove(spark, pending_path(path))
+        return 0
+    inside = F.col("hour_day").isin([day for day in days if day is not None])
+    if None in days:
+        inside = F.coalesce(inside, F.lit(False)) | F.col("hour_day").isNull()
+    kept = spark.read.schema(SCHEMA).parquet(contributions_path(path))
+    staged = scratch_path(spark, "panel")
+    panel = merge(kept.where(inside))
+    panel.write.parquet(staged)
+    panel = spark.read.schema(panel.schema).parquet(staged)
+    now = _partition_values(panel.select(*PANEL_PARTITIONS))
+    rows = _write_partitions(panel, path, PANEL_PARTITIONS) if now else 0
+    parts = {(d.year, d.month, d.day) if d else (None, None, None) for d in days}
+    gone = parts - set(now)
+    for day in gone:
+        _remove(spark, _partition_folder(path, PANEL_PARTITIONS, day))
+    if table and (now or spark.catalog.tableExists(table)):
+        register_panel(spark, path, table, now, list(gone))
+    _remove(spark, pending_path(path))
+    return rows
+
+
+def write_rejects(rejected: DataFrame, path: str, days: tuple[str, str]) -> None:
+    """Replace the rejected lines of the source days, and those without a visible day."""
+    spark = rejected.sparkSession
+    staged = scratch_path(spark, "rejects")
+    rejected.write.parquet(staged)
+    stored = spark.read.schema(rejected.schema).parquet(staged)
+    scope = _source_days(days) | F.col("source_day").isNull()
+    _replace_scope(stored, rejects_path(path), ("source_day",), scope)
 
 
 def register_panel(
-    spark: SparkSession, path: str, table: str, columns: DataFrame
+    spark: SparkSession, path: str, table: str, days: list[tuple], gone: list[tuple]
 ) -> None:
+    """Create the table once; later runs add and drop just the days they changed."""
     if not spark.catalog.tableExists(table):
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.schema)
-        days = ", ".join(f"`{name}` int" for name in PANEL_PARTITIONS)
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in PANEL_VALUES)
+        keys = ", ".join(f"`{name}` int" for name in PANEL_PARTITIONS)
         by = ", ".join(f"`{name}`" for name in PANEL_PARTITIONS)
         spark.sql(
-            f"CREATE TABLE {table} ({fields}, {days}) USING parquet "
+            f"CREATE TABLE {table} ({fields}, {keys}) USING parquet "
             f"PARTITIONED BY ({by}) LOCATION '{path}'"
         )
-    spark.catalog.recoverPartitions(table)
+        spark.catalog.recoverPartitions(table)
+    else:
+        def spec(day: tuple) -> str:
+            pairs = (f"{n}={v}" for n, v in zip(PANEL_PARTITIONS, day, strict=True))
+            return f"PARTITION ({', '.join(pairs)})"
+
+        added = [spec(day) for day in days if None not in day]
+        if added:
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
+        for day in gone:
+            if None not in day:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec(day)}")
     spark.catalog.refreshTable(table)
 
 

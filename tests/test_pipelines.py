@@ -74,6 +74,31 @@ def test_ingest_of_a_day_without_data_leaves_the_panel(spark, tmp_path):
     assert spark.read.parquet(target).count() == 48
 
 
+def test_corrupt_lines_are_set_aside_by_day(spark, tmp_path):
+    feeds = _write_feeds(spark, tmp_path)
+    target = str(tmp_path / "panel")
+    clean = pipelines.run_ingest(spark, *feeds, *DAYS, target)
+    assert not (tmp_path / "panel_rejects").exists()
+    bad = tmp_path / "consumption" / "bad.json"
+    bad.write_text(
+        '{"building_id": "B1", "date_partition_col": "2025-08-09", "aggr\n'
+        '{"building_id":"B1","timestamp_str":"2025-08-10 01:00:00","aggregated_kwh":"x","date_partition_col":"2025-08-10"}\n'
+        "no record\n"
+        '{"date_partition_col":"2025-08-01"\n'
+    )
+    for _ in range(2):
+        assert pipelines.run_ingest(spark, *feeds, *DAYS, target) == clean
+        rejects = spark.read.schema("feed string, line string, read string, source_day string").parquet(
+            writers.rejects_path(target)
+        )
+        found = sorted((r.feed, r.source_day or "", r.line[:5]) for r in rejects.collect())
+        assert [f[:2] for f in found] == [("consumption", ""), ("consumption", DAYS[0]), ("consumption", DAYS[1])]
+    assert spark.read.parquet(target).count() == 48
+    bad.write_text("")
+    pipelines.run_ingest(spark, *feeds, *DAYS, target)
+    assert rejects.sparkSession.read.schema(rejects.schema).parquet(writers.rejects_path(target)).isEmpty()
+
+
 def test_panel_table_is_registered(spark, tmp_path):
     feeds = _write_feeds(spark, tmp_path)
     target = str(tmp_path / "panel")

@@ -2,57 +2,128 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
 from datetime import datetime, timedelta
 
+import frames
+import pytest
+
 from hourgrid.operators import horizon, publish
-from hourgrid.operators.panel import with_date_parts
-from hourgrid.schemas import FORECAST, PANEL_VALUES, WEATHER_FORECAST
+from hourgrid.operators.panel import build_panel
+from hourgrid.plans import pipelines
+from hourgrid.schemas import (
+    FORECAST,
+    PANEL,
+    RAW_CONSUMPTION,
+    RAW_SOLAR,
+    RAW_WEATHER,
+    WEATHER_FORECAST,
+)
 from hourgrid.sources import writers
 
 
-def _panel(spark, rows):
-    full = [(b, t, kwh, 0.0, None, None, None, 0) for b, t, kwh in rows]
-    return with_date_parts(spark.createDataFrame(full, PANEL_VALUES))
+FEED_DAYS = ("2025-06-02", "2025-06-03", "2025-06-04")
+
+
+def _feeds(spark, *rows):
+    """Rows building, time, value, source day as consumption, solar and weather alike."""
+    feeds = []
+    for schema in (RAW_CONSUMPTION, RAW_SOLAR, RAW_WEATHER):
+        values = len(schema.fields) - 3
+        feeds.append(spark.createDataFrame([(b, t, *[v] * values, day) for b, t, v, day in rows], schema))
+    return feeds
+
+
+def _ingest(spark, path, rows, first, last, table=None):
+    own = [r for r in rows if r[3] and first <= r[3] <= last]
+    calendar = frames.calendar(spark, ("2025-06-02", 1, "fair"))
+    return pipelines.ingest_feeds(*_feeds(spark, *own), calendar, first, last, path, table)
+
+
+def _whole(spark, rows):
+    calendar = frames.calendar(spark, ("2025-06-02", 1, "fair"))
+    return build_panel(*_feeds(spark, *rows), calendar)
+
 
+def _same(left, right):
+    def plain(frame):
+        return Counter(
+            tuple(round(x, 9) if isinstance(x, float) else x for x in row)
+            for row in frame.select(*PANEL.fieldNames()).collect()
+        )
 
-def test_late_row_keeps_the_day_before(spark, tmp_path):
+    return plain(left) == plain(right)
+
+
+def _random_rows(seed):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(400):
+        at = datetime(2025, 6, 2) + timedelta(minutes=rng.randrange(3 * 1440))
+        filed = at + timedelta(days=rng.choice([0, 0, 0, 0, 1, 2]))
+        day = min(f"{filed:%Y-%m-%d}", FEED_DAYS[-1])
+        value = rng.choice([None, round(rng.uniform(0, 9), 2)])
+        rows.append((rng.choice(["N7", "N8", None]), f"{at:%Y-%m-%d %H:%M:%S}", value, day))
+    rows += [("N7", "yesterday", 1.0, FEED_DAYS[0]), ("N7", "25:00", 2.0, FEED_DAYS[1]), (None, None, 3.0, FEED_DAYS[1])]
+    return rows
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1, 1, 0)])
+def test_daily_runs_in_any_order_equal_one_run(spark, tmp_path, order):
+    rows = _random_rows(len(order))
     path = str(tmp_path / "panel")
-    day = datetime(2025, 6, 2)
-    hours = [("N7", day + timedelta(hours=h), 3.0) for h in range(24)]
-    writers.write_panel(_panel(spark, hours), path, days=("2025-06-02", "2025-06-02"))
-    later = [("N7", day + timedelta(hours=23), 0.5), ("N7", day + timedelta(hours=24), 4.0)]
-    for _ in range(2):
-        writers.write_panel(_panel(spark, later), path, days=("2025-06-03", "2025-06-03"))
-        stored = spark.read.parquet(path)
-        assert stored.count() == 25
-        assert stored.where("consumption_kwh = 0.5").isEmpty()
-    # The day's own run replaces its hours.
-    writers.write_panel(_panel(spark, hours[:5]), path, days=("2025-06-02", "2025-06-02"))
-    assert spark.read.parquet(path).count() == 6
-
-
-def test_rows_without_an_hour_stay(spark, tmp_path):
+    for k in order:
+        _ingest(spark, path, rows, FEED_DAYS[k], FEED_DAYS[k])
+    whole = _whole(spark, rows)
+    assert whole.count() > 100 and _same(spark.read.parquet(path), whole)
+
+
+def test_a_changed_day_replaces_what_it_contributed(spark, tmp_path):
+    rows = _random_rows(4)
     path = str(tmp_path / "panel")
-    for day, name in (("2025-06-02", "N7"), ("2025-06-03", "N8")):
-        writers.write_panel(_panel(spark, [(name, None, 1.0)]), path, days=(day, day))
-    assert {r.building_id for r in spark.read.parquet(path).collect()} == {"N7", "N8"}
+    for day in FEED_DAYS:
+        _ingest(spark, path, rows, day, day)
+    # The second day comes again without its late records and its rows without an hour.
+    fewer = [r for r in rows if r[3] != FEED_DAYS[1] or (r[1] or "").startswith(FEED_DAYS[1])]
+    assert len(fewer) < len(rows)
+    _ingest(spark, path, fewer, FEED_DAYS[1], FEED_DAYS[1])
+    assert _same(spark.read.parquet(path), _whole(spark, fewer))
+    # And then without anything: no hour keeps a part of it.
+    none = [r for r in rows if r[3] != FEED_DAYS[1]]
+    _ingest(spark, path, none, FEED_DAYS[1], FEED_DAYS[1])
+    assert _same(spark.read.parquet(path), _whole(spark, none))
+    for day in (FEED_DAYS[0], FEED_DAYS[2]):
+        _ingest(spark, path, [], day, day)
+    assert spark.read.schema(PANEL).parquet(path).isEmpty()
+
+
+def test_a_run_that_failed_before_merging_is_mended_by_the_next(spark, tmp_path, monkeypatch):
+    rows = _random_rows(6)
+    path = str(tmp_path / "panel")
+    _ingest(spark, path, rows, FEED_DAYS[0], FEED_DAYS[1])
+    less = [r for r in rows if r[3] != FEED_DAYS[0]]
+    with monkeypatch.context() as broken:
+        broken.setattr(writers, "merge_pending", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            _ingest(spark, path, less, FEED_DAYS[0], FEED_DAYS[0])
+    _ingest(spark, path, rows, FEED_DAYS[2], FEED_DAYS[2])
+    assert _same(spark.read.parquet(path), _whole(spark, less))
 
 
-def test_late_rows_and_rows_without_an_hour_are_set_aside(spark, tmp_path):
+def test_late_days_appear_in_the_table(spark, tmp_path):
     path = str(tmp_path / "panel")
-    at = datetime(2025, 6, 2, 23)
-    writers.write_panel(_panel(spark, [("N7", at, 3.0), ("N7", None, 1.0)]), path, days=("2025-06-02", "2025-06-02"))
-    second = [("N7", at, 0.5), ("N7", at + timedelta(hours=1), 4.0), ("N7", None, 2.0)]
-    for _ in range(2):
-        writers.write_panel(_panel(spark, second), path, days=("2025-06-03", "2025-06-03"))
-    late = spark.read.parquet(writers.late_path(path))
-    assert sorted((r.consumption_kwh, r.reason, str(r.run_first)) for r in late.collect()) == [
-        (0.5, "other day", "2025-06-03"),
-        (1.0, "no hour", "2025-06-02"),
-        (2.0, "no hour", "2025-06-03"),
-    ]
-    stored = spark.read.parquet(path)
-    assert stored.where("timestamp_hour = '2025-06-02 23:00:00'").first().consumption_kwh == 3.0
+    rows = [("N7", "2025-06-03 01:00:00", 1.0, FEED_DAYS[1]), ("N7", "2025-06-02 23:00:00", 2.0, FEED_DAYS[1])]
+    try:
+        _ingest(spark, path, rows[:1], FEED_DAYS[1], FEED_DAYS[1], "late_panel")
+        _ingest(spark, path, rows, FEED_DAYS[1], FEED_DAYS[1], "late_panel")
+        assert spark.table("late_panel").count() == 2
+        _ingest(spark, path, rows[1:], FEED_DAYS[1], FEED_DAYS[1], "late_panel")
+        assert spark.table("late_panel").count() == 1
+        shown = {r.partition for r in spark.sql("SHOW PARTITIONS late_panel").collect()}
+        assert shown == {"year=2025/month=6/day=2"}
+    finally:
+        spark.sql("DROP TABLE IF EXISTS late_panel")
 
 
 def test_republishing_one_building_keeps_the_other(spark, tmp_path):
