@@ -22,6 +22,7 @@ from hourgrid.config import (
     rolling_name,
 )
 from hourgrid.functions.clock import calendar_part, moment
+from hourgrid.operators.hour_grid import Frame
 from hourgrid.operators.panel import panel_range
 from hourgrid.operators.windows import WindowColumn, trailing_columns
 
@@ -46,6 +47,7 @@ class WindowFeature:
     first: Mapping[str, WindowColumn]
     second: Mapping[str, WindowColumn] = field(default_factory=dict)
     combine: Sequence[Callable[[], dict[str, Column]]] = ()
+    frames: Mapping[str, Frame] = field(default_factory=dict)
 
 
 def _lag(column: str, hours: int, mode: str) -> WindowColumn:
@@ -58,10 +60,9 @@ def _lag(column: str, hours: int, mode: str) -> WindowColumn:
     return over
 
 
-def _trailing(column: str, hours: int, agg: str, mode: str) -> WindowColumn:
+def _trailing(column: str, rows: int, agg: str) -> WindowColumn:
     def over(window: WindowSpec) -> Column:
-        frame = window.rowsBetween if mode == "rows" else window.rangeBetween
-        return _AGGREGATES[agg](column).over(frame(1 - hours, 0))
+        return _AGGREGATES[agg](column).over(window.rowsBetween(1 - rows, 0))
 
     return over
 
@@ -123,7 +124,7 @@ def _rolling_days(name: str, column: str, rows: int, agg: str) -> WindowFeature:
     }
     return WindowFeature(
         rows - 1,
-        {made: _trailing(column, DAY, part, "rows") for part, made in parts.items()},
+        {made: _trailing(column, DAY, part) for part, made in parts.items()},
         {f"{made}_{k}": _lag(made, k, "rows") for made in parts.values() for k in lags},
         steps[agg],
     )
@@ -140,11 +141,14 @@ def window_features(spec: FeatureSpec) -> dict[str, WindowFeature]:
         for hours in rolling.windows:
             for agg in rolling.aggs:
                 name = rolling_name(column, hours, agg)
-                # By the clock a day may end in a gap, where no row holds its parts.
-                if spec.mode == "rows" and hours % DAY == 0:
+                if spec.mode == "hours":
+                    frames = {name: Frame(column, hours, agg)}
+                    features[name] = WindowFeature(hours - 1, {}, frames=frames)
+                    continue
+                if hours % DAY == 0:
                     features[name] = _rolling_days(name, column, hours, agg)
                     continue
-                make = _trailing(column, hours, agg, spec.mode)
+                make = _trailing(column, hours, agg)
                 features[name] = WindowFeature(hours - 1, {name: make})
     return features
 
@@ -170,7 +174,9 @@ def add_window_features(
     }
     first: dict[str, WindowColumn] = {}
     second: dict[str, WindowColumn] = {}
+    frames: dict[str, Frame] = {}
     for feature in chosen.values():
+        frames.update(feature.frames)
         first.update(feature.first)
         second.update(feature.second)
     windowed = trailing_columns(
@@ -181,6 +187,7 @@ def add_window_features(
         key=spec.key,
         time=spec.time,
         block_rows=block_rows,
+        frames=frames,
     )
     for steps in zip_longest(*[feature.combine for feature in chosen.values()]):
         columns: dict[str, Column] = {}

@@ -6,7 +6,7 @@ the block before it, and Spark partitions by (building, block). Borrowed rows on
 feed the windows and are dropped afterwards, so every result equals the one of an
 undivided window.
 
-``hours`` mode cuts by the clock: one shuffle. ``rows`` mode cuts by row position,
+``hours`` mode cuts by the clock: one shuffle, which the grids of ``hour_grid`` use too. ``rows`` mode cuts by row position,
 which first has to be found (rows per chunk, running total, position inside the
 chunk). That reads the panel twice, the second time only its key and hour, so the
 panel should be a stored table, not raw feeds.
@@ -19,7 +19,10 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import DoubleType, StructField, StructType
+
 from hourgrid.functions.clock import hour_index
+from hourgrid.operators.hour_grid import Frame, rolled
 
 WindowColumn = Callable[[WindowSpec], Column]
 
@@ -35,13 +38,15 @@ def trailing_columns(
     key: str = "building_id",
     time: str = "timestamp_hour",
     block_rows: int | None = None,
+    frames: Mapping[str, Frame] | None = None,
 ) -> DataFrame:
     """Add window columns that look back at most ``reach`` rows (or hours).
 
     Each pass may use the columns of the passes before it; all share one layout, so
-    a further pass costs neither a shuffle nor a sort.
+    a further pass costs neither a shuffle nor a sort. ``frames`` are aggregates over
+    clock hours, for ``hours`` mode; they are taken from each block's grid of hours.
     """
-    if not any(passes):
+    if not any(passes) and not frames:
         return panel
     block_rows = block_rows or max(BLOCK_ROWS, 16 * reach)
     if reach > block_rows:
@@ -52,6 +57,11 @@ def trailing_columns(
         placed = _with_row_position(panel, key, time, block_rows)
     window = Window.partitionBy(key, "_block").orderBy("_at")
     windowed = _add(_lend_block_tails(placed, reach, block_rows), passes, window)
+    if frames:
+        kept = windowed.drop("_at", "_block", "_own").schema
+        schema = StructType([*kept, *(StructField(name, DoubleType()) for name in frames)])
+        grid = rolled(frames, "_at", "_own", ("_at", "_block", "_own"))
+        return windowed.groupBy(key, "_block").applyInArrow(grid, schema)
     return windowed.where("_own").drop("_at", "_block", "_own")
 
 
