@@ -1,4 +1,7 @@
-"""The numpy side of ridge regression, run inside Spark tasks.
+"""The numpy side of the penalised regression, run inside Spark tasks.
+
+Columns have a normal prior (a squared penalty), slope changes a Laplace prior (an absolute
+one): most of them are exactly zero, as few as the data ask for.
 
 Spark ships this module with the tasks (``register_pickle_by_value`` below), so
 the workers need numpy, pandas and pyarrow but not this package.
@@ -21,7 +24,7 @@ PARTIAL_SCHEMA = (
 )
 COEFFICIENT_SCHEMA = (
     "building_id string, coefficients array<double>, offsets array<double>,"
-    " slopes array<double>, sigma double, n_obs bigint"
+    " slopes array<double>, sigma double, drift double, n_obs bigint"
 )
 
 
@@ -56,7 +59,14 @@ def solver(scales: np.ndarray, hours_needed: np.ndarray, changepoints: np.ndarra
 
     A design column takes part when the building has ``hours_needed`` of history.
     The trend is also returned as one line per stretch between changepoints.
+
+    ``drift`` is what future slope changes add to the variance at distance d beyond the
+    training range, over d cubed. They are expected as often as there are changepoints,
+    with the fitted ones' mean size b: each has variance 2 b * b, and one that comes u
+    before the end has moved the trend by u times its size; d * d * d / 3 is the integral.
     """
+    sparse = np.zeros(len(scales), bool)
+    sparse[2 : 2 + len(changepoints)] = True
 
     def solve(partials: pd.DataFrame) -> pd.DataFrame:
         side = len(scales) + 1
@@ -64,8 +74,9 @@ def solver(scales: np.ndarray, hours_needed: np.ndarray, changepoints: np.ndarra
         n = int(partials["n_obs"].sum())
         hours = int(partials["last_hour"].max() - partials["first_hour"].min())
         usable = hours_needed <= hours
-        beta, sigma = ridge(cross.reshape(side, side), n, scales, usable)
+        beta, sigma = penalised(cross.reshape(side, side), n, scales, usable, sparse)
         bends = beta[2 : 2 + len(changepoints)]
+        size = np.abs(bends).mean() if len(bends) else 0.0
         slopes = beta[1] + np.concatenate([[0.0], np.cumsum(bends)])
         offsets = beta[0] - np.concatenate([[0.0], np.cumsum(bends * changepoints)])
         return pd.DataFrame(
@@ -75,6 +86,7 @@ def solver(scales: np.ndarray, hours_needed: np.ndarray, changepoints: np.ndarra
                 "offsets": [offsets],
                 "slopes": [slopes],
                 "sigma": [sigma],
+                "drift": [len(bends) * 2 * size**2 / 3],
                 "n_obs": [n],
             }
         )
@@ -82,23 +94,33 @@ def solver(scales: np.ndarray, hours_needed: np.ndarray, changepoints: np.ndarra
     return solve
 
 
-def ridge(
-    cross: np.ndarray, n: int, scales: np.ndarray, usable: np.ndarray
+def penalised(
+    cross: np.ndarray, n: int, scales: np.ndarray, usable: np.ndarray, sparse: np.ndarray
 ) -> tuple[np.ndarray, float]:
     """Coefficients and residual spread from the cross-products of [X, y].
 
-    The penalty of a column is noise variance / prior variance, with the target
-    scaled to unit size; the noise variance is re-estimated from the residuals.
+    The penalty of a column is noise variance / prior variance, of a ``sparse`` one noise
+    variance / prior scale, with the target scaled to unit size; the noise variance is
+    re-estimated from the residuals. An infinite scale is no penalty.
     """
     unit = np.ones(len(cross))
     unit[-1] = np.sqrt(cross[-1, -1] / n) or 1.0
     scaled = cross / np.outer(unit, unit)
     keep = np.flatnonzero(usable)
     gram, moment, power = scaled[np.ix_(keep, keep)], scaled[keep, -1], scaled[-1, -1]
+    few, plain = np.flatnonzero(sparse[keep]), np.flatnonzero(~sparse[keep])
     noise, beta = 1.0, np.zeros(len(keep))
     for _ in range(SOLVER_ROUNDS):
-        penalty = np.diag(noise / scales[keep] ** 2)
-        beta = np.linalg.lstsq(gram + penalty, moment, rcond=None)[0]
+        penalty = np.diag(noise / scales[keep][plain] ** 2)
+        # The plain columns as functions of the sparse ones, which are then solved alone.
+        right = np.column_stack([gram[np.ix_(plain, few)], moment[plain]])
+        solved = np.linalg.lstsq(gram[np.ix_(plain, plain)] + penalty, right, rcond=None)[0]
+        if len(few):
+            between = gram[np.ix_(few, plain)]
+            square = gram[np.ix_(few, few)] - between @ solved[:, :-1]
+            linear = moment[few] - between @ solved[:, -1]
+            beta[few] = absolute(square, linear, noise / scales[keep][few])
+        beta[plain] = solved[:, -1] - solved[:, :-1] @ beta[few]
         rss = power - 2 * beta @ moment + beta @ gram @ beta
         noise = max(rss / n, 1e-12)
     full = np.zeros(len(scales))
@@ -106,4 +128,50 @@ def ridge(
     return full, float(np.sqrt(noise) * unit[-1])
 
 
+def absolute(square: np.ndarray, linear: np.ndarray, penalty: np.ndarray) -> np.ndarray:
+    """The x that minimises x'Ax / 2 - b'x + sum(penalty * abs(x)), exactly.
+
+    Signs are guessed one coefficient at a time (Lee et al., "Efficient sparse coding
+    algorithms", 2007): the problem with given signs is linear, and a step stops where a
+    coefficient would change its sign. Each step lowers the value, so it ends.
+    """
+    x = np.zeros(len(linear))
+    tiny = 1e-12 * max(float(np.abs(linear).max(initial=0.0)), 1e-300)
+
+    def value(at: np.ndarray) -> float:
+        return 0.5 * at @ square @ at - linear @ at + penalty @ np.abs(at)
+
+    for _ in range(50 * len(x) + 50):
+        slope = square @ x - linear
+        signs = np.sign(x)
+        active = np.flatnonzero(signs)
+        settled = np.abs(slope[active] + penalty[active] * signs[active]).max(initial=0.0) <= 1e3 * tiny
+        if settled:
+            pull = np.where(signs == 0, np.abs(slope) - penalty, -np.inf)
+            if not len(pull) or pull.max() <= 1e3 * tiny:
+                break
+            joins = int(pull.argmax())
+            signs[joins] = -np.sign(slope[joins])
+            active = np.append(active, joins)
+        inner = square[np.ix_(active, active)]
+        aim = np.linalg.lstsq(inner, linear[active] - penalty[active] * signs[active], rcond=None)[0]
+        path = aim - x[active]
+        # Where the way to the aim crosses zero, and the aim itself: the lowest is taken.
+        with np.errstate(divide="ignore", invalid="ignore"):
+            zero = -x[active] / path
+        shares = np.append(zero[(zero > 0) & (zero < 1)], 1.0)
+        best, lowest = x, value(x)
+        for share in shares:
+            tried = x.copy()
+            tried[active] = x[active] + share * path
+            tried[active[np.abs(zero - share) < 1e-12]] = 0.0
+            now = value(tried)
+            if now < lowest:
+                best, lowest = tried, now
+        if best is x:
+            break
+        x = best
+    return x
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,11 +1,12 @@
 """Additive trend + seasonality + regressors, one model per building.
 
 The decomposition follows Taylor & Letham, "Forecasting at Scale" (2018): a
-piecewise-linear trend, Fourier terms per season, and linear regressors. A ridge
-penalty stands in for the priors and the residual spread for the interval, so the
-numbers differ from a Bayesian fit.
+piecewise-linear trend, Fourier terms per season, and linear regressors. The fit is the
+most probable one under the published priors: normal for seasons, regressors and the first
+line, Laplace for the changes of slope, so most of these are zero. The interval is the
+residual spread, and beyond the training range what future changes of slope would add.
 
-Ridge needs only the cross-products X'X, X'y and y'y, and those add up. Fitting is
+The fit needs only the cross-products X'X, X'y and y'y, and those add up. Fitting is
 two aggregations: cross-products per (building, block of hours), then their sum
 and a small solve per building. No task ever holds a building's whole history.
 Scoring is a join with the coefficients and a sum of built-in expressions.
@@ -98,11 +99,11 @@ class Layout:
         ]
         return reduce(add, effects, trend)
 
-    def prior_scales(self, params: TrendSeasonalParams) -> np.ndarray:
+    def prior_scales(self, params: TrendSeasonalParams, trend: float) -> np.ndarray:
         waves = sum(2 * SEASONS[season][1] for season in self.seasons)
         return np.repeat(
             [
-                TREND_PRIOR_SCALE,
+                trend,
                 params.changepoint_prior_scale,
                 params.seasonality_prior_scale,
                 params.holidays_prior_scale,
@@ -137,7 +138,9 @@ class TrendSeasonalModel:
             .join(self.coefficients, "building_id", "left")
             .withColumn("yhat", self.layout.prediction())
         )
-        spread = F.col("sigma") * F.lit(half)
+        beyond = F.greatest(self.layout.position() - 1.0, F.lit(0.0))
+        variance = F.col("sigma") * F.col("sigma") + F.col("drift") * beyond * beyond * beyond
+        spread = F.sqrt(variance) * F.lit(half)
         return scored.withColumns(
             {
                 "yhat_lower": F.col("yhat") - spread,
@@ -182,8 +185,13 @@ def fit_trend_seasonal(
     params: TrendSeasonalParams | None = None,
     target: str = "consumption_kwh",
     hours: tuple[int, int] | None = None,
+    trend_prior_scale: float = TREND_PRIOR_SCALE,
 ) -> TrendSeasonalModel:
-    """Fit every building of ``train``; ``hours`` saves the range query."""
+    """Fit every building of ``train``; ``hours`` saves the range query.
+
+    With an infinite ``trend_prior_scale`` and nothing but a trend, the fit is the line of
+    ordinary least squares.
+    """
     params = params or TrendSeasonalParams()
     present = [name for name in params.regressors if name in train.columns]
     layout = plan_layout(*(hours or training_range(train)), params, present)
@@ -211,7 +219,7 @@ def fit_trend_seasonal(
         ridge.cross_products(changepoints), ridge.PARTIAL_SCHEMA
     )
     solve = ridge.solver(
-        layout.prior_scales(params), layout.hours_needed(params), changepoints
+        layout.prior_scales(params, trend_prior_scale), layout.hours_needed(params), changepoints
     )
     coefficients = partial.groupBy("building_id").applyInPandas(
         solve, ridge.COEFFICIENT_SCHEMA

@@ -56,12 +56,26 @@ def test_trend_and_season_are_recovered(spark):
         assert row.yhat_lower <= row.yhat <= row.yhat_upper
 
 
-def test_coefficients_equal_a_direct_ridge_solution(spark, monkeypatch):
-    """Summed blocks give what one least-squares problem over all rows gives."""
+def _minimiser(x, y, squares, absolutes):
+    """Coordinate descent for |y - xb|**2 / 2 + squares * b**2 / 2 + absolutes * |b|."""
+    gram, moment = x.T @ x, x.T @ y
+    beta = np.linalg.lstsq(gram + np.diag(squares + 1e-9), moment, rcond=None)[0]
+    for _ in range(40_000):
+        before = beta.copy()
+        for j in range(len(beta)):
+            rest = moment[j] - gram[j] @ beta + gram[j, j] * beta[j]
+            beta[j] = np.sign(rest) * max(abs(rest) - absolutes[j], 0) / (gram[j, j] + squares[j])
+        if np.abs(beta - before).max() < 1e-12:
+            break
+    return beta
+
+
+def test_coefficients_equal_a_direct_solution(spark, monkeypatch):
+    """Summed blocks give what one penalised problem over all rows gives."""
     params = TrendSeasonalParams(n_changepoints=3, yearly_seasonality=False)
     rng = np.random.default_rng(1)
     hours = np.arange(500)
-    values = 10 + 0.02 * hours + np.sin(hours / 5) + rng.normal(0, 0.3, 500)
+    values = 10 + 0.02 * np.maximum(hours - 200, 0) + np.sin(hours / 5) + rng.normal(0, 0.3, 500)
     frame = spark.createDataFrame(
         [("B1", START + timedelta(hours=int(h)), float(v)) for h, v in zip(hours, values)],
         FRAME,
@@ -82,23 +96,81 @@ def test_coefficients_equal_a_direct_ridge_solution(spark, monkeypatch):
             angle = 2 * np.pi * k * (hours + origin) / period
             columns += [np.sin(angle), np.cos(angle)]
     x = np.column_stack(columns)
-    y = values / math.sqrt(np.mean(values**2))
-    prior = np.array([5.0] * 2 + [0.05] * 3 + [10.0] * 14)
+    scale = math.sqrt(np.mean(values**2))
+    y = values / scale
+    normal = np.array([5.0] * 2 + [np.inf] * 3 + [10.0] * 14)
+    laplace = np.array([np.inf] * 2 + [0.05] * 3 + [np.inf] * 14)
     noise = 1.0
     for _ in range(ridge.SOLVER_ROUNDS):
-        # Ridge as ordinary least squares with one extra row per coefficient.
-        extra = np.diag(math.sqrt(noise) / prior)
-        stacked = np.vstack([x, extra]), np.concatenate([y, np.zeros(len(prior))])
-        beta = np.linalg.lstsq(*stacked, rcond=None)[0]
+        beta = _minimiser(x, y, noise / normal**2, noise / laplace)
         noise = np.mean((y - x @ beta) ** 2)
-    scale = math.sqrt(np.mean(values**2))
-    assert fitted.coefficients == pytest.approx(list(beta * scale), abs=1e-6)
+    assert fitted.coefficients == pytest.approx(list(beta * scale), abs=1e-5)
     assert fitted.sigma == pytest.approx(math.sqrt(noise) * scale, rel=1e-6)
     assert fitted.n_obs == 500
+    bends = np.abs(fitted.coefficients[2:5])
+    assert fitted.drift == pytest.approx(3 * 2 * bends.mean() ** 2 / 3)
 
     # Scoring looks the trend up by stretch; it must equal the full design row.
     forecast = model.forecast(frame).orderBy("timestamp_hour").collect()
-    assert [r.yhat for r in forecast] == pytest.approx(list(x @ beta * scale), abs=1e-6)
+    assert [r.yhat for r in forecast] == pytest.approx(list(x @ beta * scale), abs=1e-5)
+
+
+def test_absolute_penalties_meet_their_conditions():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 2, 6, 25):
+        for strength in (0.0, 0.1, 3.0, 1e6):
+            rows = rng.normal(size=(40, size)).cumsum(axis=0)
+            square, linear = rows.T @ rows, rows.T @ rng.normal(size=40)
+            penalty = np.full(size, strength)
+            found = ridge.absolute(square, linear, penalty)
+            slope = square @ found - linear
+            zero = found == 0
+            assert (np.abs(slope[zero]) <= penalty[zero] + 1e-6).all()
+            assert slope[~zero] == pytest.approx(-penalty[~zero] * np.sign(found[~zero]), abs=1e-6)
+            if strength == 1e6:
+                assert zero.all()
+
+
+def test_one_change_of_slope_is_recovered_and_no_other(spark):
+    rng = np.random.default_rng(3)
+    params = TrendSeasonalParams(weekly_seasonality=False, yearly_seasonality=False)
+    layout = plan_layout(0, 1999, params, ())
+    turn = layout.changepoints[12]
+    rows = [
+        (b, START + timedelta(hours=h), 20 + 8 * bend * max(h / 1999 - turn, 0) + rng.normal(0, 0.4))
+        for b, bend in (("bent", 1), ("flat", 0))
+        for h in range(2000)
+    ]
+    model = fit_trend_seasonal(spark.createDataFrame(rows, FRAME), params)
+    found = {r.building_id: np.array(r.coefficients[2:27]) for r in model.coefficients.collect()}
+    near = np.abs(np.array(layout.changepoints) - turn) < 0.1
+    assert found["bent"][near].sum() == pytest.approx(8, rel=0.15)
+    assert np.abs(found["bent"][~near]).sum() < 1.0
+    assert (found["flat"] == 0).sum() >= 20 and (found["bent"] == 0).sum() >= 15
+    # Beyond the range the interval of the bent one widens, inside it is level.
+    later = [(b, START + timedelta(hours=h), 0.0) for b in ("bent", "flat") for h in (100, 1999, 2999, 3999)]
+    wide: dict = {"bent": [], "flat": []}
+    forecast = model.forecast(spark.createDataFrame(later, FRAME)).orderBy("timestamp_hour")
+    for r in forecast.collect():
+        wide[r.building_id].append(r.yhat_upper - r.yhat_lower)
+    first, last, year, more = wide["bent"]
+    assert first == pytest.approx(last) and last < year < more
+    drift = {r.building_id: r.drift for r in model.coefficients.collect()}
+    grown = (more**2 - last**2) / (2 * 1.2815515655446004) ** 2
+    assert grown == pytest.approx(drift["bent"] * (2000 / 1999) ** 3, rel=1e-6)
+
+
+def test_without_penalties_the_fit_is_a_least_squares_line(spark):
+    params = TrendSeasonalParams(
+        n_changepoints=0, daily_seasonality=False, weekly_seasonality=False, yearly_seasonality=False
+    )
+    rng = np.random.default_rng(9)
+    rows = [("B1", START + timedelta(hours=h), 5 + rng.normal(0, 3)) for h in range(0, 90, 2)]
+    frame = spark.createDataFrame(rows, FRAME)
+    model = fit_trend_seasonal(frame, params, trend_prior_scale=math.inf)
+    line = np.polyfit(range(0, 90, 2), [r[2] for r in rows], 1)
+    found = model.forecast(frame).orderBy("timestamp_hour").collect()
+    assert [r.yhat for r in found] == pytest.approx(list(np.polyval(line, range(0, 90, 2))), abs=1e-8)
 
 
 def test_interval_widens_with_noise(spark):
