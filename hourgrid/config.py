@@ -219,9 +219,9 @@ class BoostedTreeParams(_Params):
         )
 
     def __post_init__(self) -> None:
-        # Spark's gradient-boosted trees have no leaf-weight penalties.
-        if (self.reg_lambda, self.reg_alpha) != (1.0, 0.0):
-            raise ValueError("reg_lambda and reg_alpha cannot be changed on Spark")
+        for name in ("reg_lambda", "reg_alpha"):
+            if getattr(self, name) < 0:
+                raise ValueError(f"{name} must not be negative")
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from hourgrid.config import BoostedTreeParams, TrendSeasonalParams
@@ -43,7 +42,7 @@ class Forecaster:
     def save(self, spark: SparkSession, path: str) -> None:
         layout = None
         if isinstance(self.model, BoostedTreeModel):
-            self.model.pipeline.write().overwrite().save(f"{path}/pipeline")
+            self.model.save(spark, f"{path}/trees")
         else:
             layout = self.model.layout.to_json()
             self.model.coefficients.write.mode("overwrite").parquet(
@@ -96,7 +95,7 @@ def load_forecaster(spark: SparkSession, path: str) -> Forecaster:
     if metadata.model_type == "boosted_trees":
         if not features:
             raise ValueError("The stored model names no input columns")
-        model = BoostedTreeModel(PipelineModel.load(f"{path}/pipeline"), features)
+        model = BoostedTreeModel.load(spark, f"{path}/trees", features)
     else:
         model = TrendSeasonalModel(
             spark.read.parquet(f"{path}/coefficients"), Layout.from_json(metadata.layout)

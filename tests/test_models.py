@@ -291,6 +291,43 @@ def test_trees_beat_the_mean_and_repeat(spark):
     assert error < 0.5 * sum((a - mean) ** 2 for a in actual)
 
 
+@pytest.mark.parametrize(("penalty", "alpha"), [(0.0, 0.0), (1.0, 0.0), (1.0, 30.0), (5.0, 1e6)])
+def test_leaves_are_penalised(spark, penalty, alpha):
+    """Two rounds of stumps against the same done by hand."""
+    params = BoostedTreeParams(
+        eta=0.5, max_depth=1, num_boost_round=2, subsample=1.0, colsample_bytree=1.0,
+        reg_lambda=penalty, reg_alpha=alpha,
+    )
+    values = [(h, 10.0 + 3 * (h > 6) - 2 * (h > 15) + 0.01 * h) for h in range(24)]
+    rows = [("B1", START + timedelta(hours=h), y, h) for h, y in values]
+    train = spark.createDataFrame(rows, FRAME + ", hour_of_day int")
+    model = fit_boosted_trees(train, ["hour_of_day"], params)
+    found = [r.yhat for r in model.forecast(train).orderBy("timestamp_hour").collect()]
+    predicted = [sum(y for _, y in values) / 24] * 24
+    for _ in range(2):
+        left = [y - p for (_, y), p in zip(values, predicted)]
+        cut = max(range(1, 24), key=lambda k: sum(left[:k]) ** 2 / k + sum(left[k:]) ** 2 / (24 - k))
+        for part in (range(cut), range(cut, 24)):
+            total = sum(left[i] for i in part)
+            shrunk = math.copysign(max(abs(total) - alpha, 0) / (len(part) + penalty), total)
+            for i in part:
+                predicted[i] += 0.5 * shrunk
+    assert found == pytest.approx(predicted, abs=1e-9)
+
+
+def test_stored_rounds_and_sampling_repeat(spark, monkeypatch):
+    from hourgrid.models import boosted_trees
+
+    train = _tree_rows(spark)
+    params = BoostedTreeParams(max_depth=2, num_boost_round=5, subsample=0.8, colsample_bytree=0.5)
+    kept = []
+    for rounds in (2, 100):
+        monkeypatch.setattr(boosted_trees, "STORED_ROUNDS", rounds)
+        kept.append(fit_boosted_trees(train, INPUTS, params).trees)
+    assert kept[0] == kept[1]
+    assert all({n.feature for n in tree} <= {-1, 0, 1, 2, 3} for tree in kept[0])
+
+
 def test_trees_need_feature_columns(spark):
     with pytest.raises(ValueError, match="feature_columns"):
         fit_forecaster("XGBoost", _tree_rows(spark))
@@ -338,8 +375,9 @@ def test_parameters():
         TrendSeasonalParams.from_mapping({"prophet_typo": 1})
     with pytest.raises(ValueError, match="given twice"):
         BoostedTreeParams.from_mapping({"eta": 0.1, "xgb_eta": 0.2})
-    with pytest.raises(ValueError, match="cannot be changed"):
-        BoostedTreeParams.from_mapping({"xgb_lambda": 2.0})
+    with pytest.raises(ValueError, match="negative"):
+        BoostedTreeParams.from_mapping({"xgb_lambda": -2.0})
+    assert BoostedTreeParams.from_mapping({"xgb_lambda": 2.0, "xgb_alpha": 0.5}).reg_alpha == 0.5
     with pytest.raises(ValueError, match="yearly_seasonality"):
         TrendSeasonalParams(yearly_seasonality="sometimes")
 
