@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field, fields, replace
+from dataclasses import asdict, dataclass, field, fields, replace
 from typing import Any
 
 # Output names that feature consumers and stored models rely on.
@@ -140,6 +141,21 @@ class FeatureSpec:
                 changes[name] = settings[name]
         return replace(spec, **changes)
 
+    def to_json(self) -> str:
+        return json.dumps(asdict(self))
+
+    @classmethod
+    def from_json(cls, text: str) -> FeatureSpec:
+        kept = json.loads(text)
+        kept["time_features"] = tuple(kept["time_features"])
+        kept["lags"] = {name: tuple(hours) for name, hours in kept["lags"].items()}
+        kept["rolling"] = {
+            name: Rolling(tuple(entry["windows"]), tuple(entry["aggs"]))
+            for name, entry in kept["rolling"].items()
+        }
+        kept["interactions"] = {name: tuple(pair) for name, pair in kept["interactions"].items()}
+        return cls(**kept)
+
 
 def lag_name(column: str, hours: int) -> str:
     return f"{FEATURE_PREFIXES.get(column, column)}_lag_{hours}h"

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from hourgrid.config import BoostedTreeParams, TrendSeasonalParams
+from hourgrid.config import BoostedTreeParams, FeatureSpec, TrendSeasonalParams
 from hourgrid.models.boosted_trees import BoostedTreeModel, fit_boosted_trees
 from hourgrid.models.trend_seasonal import (
     Layout,
@@ -35,6 +35,14 @@ class Forecaster:
     model: TrendSeasonalModel | BoostedTreeModel
     feature_columns: tuple[str, ...]
     target_column: str
+    #: How the features were made that the model was fitted on; inference makes them alike.
+    spec: FeatureSpec = field(default_factory=FeatureSpec)
+
+    @property
+    def serving_columns(self) -> tuple[str, ...]:
+        """The columns that inference has to make for this model."""
+        key = (self.spec.key, self.spec.time)
+        return (*key, *(name for name in self.feature_columns if name not in key))
 
     def forecast(self, features: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         return self.model.forecast(features, keep)
@@ -48,7 +56,8 @@ class Forecaster:
             self.model.coefficients.write.mode("overwrite").parquet(
                 f"{path}/coefficients"
             )
-        row = (self.model_type, list(self.feature_columns), self.target_column, layout)
+        features, spec = list(self.feature_columns), self.spec.to_json()
+        row = (self.model_type, features, self.target_column, layout, spec)
         # The metadata is written last: a folder with metadata is a complete model.
         spark.createDataFrame([row], MODEL_METADATA).coalesce(1).write.mode(
             "overwrite"
@@ -67,6 +76,7 @@ def fit_forecaster(
     feature_columns: Sequence[str] = (),
     hyperparameters: Mapping[str, Any] | None = None,
     target: str = "consumption_kwh",
+    spec: FeatureSpec | None = None,
 ) -> Forecaster:
     model_type = model_type_of(strategy)
     settings = hyperparameters or {}
@@ -78,7 +88,7 @@ def fit_forecaster(
         params = TrendSeasonalParams.from_mapping(settings)
         model = fit_trend_seasonal(train, params, target)
         feature_columns = model.layout.regressors
-    return Forecaster(model_type, model, tuple(feature_columns), target)
+    return Forecaster(model_type, model, tuple(feature_columns), target, spec or FeatureSpec())
 
 
 def load_forecaster(spark: SparkSession, path: str) -> Forecaster:
@@ -100,4 +110,5 @@ def load_forecaster(spark: SparkSession, path: str) -> Forecaster:
         model = TrendSeasonalModel(
             spark.read.parquet(f"{path}/coefficients"), Layout.from_json(metadata.layout)
         )
-    return Forecaster(metadata.model_type, model, features, metadata.target_column)
+    spec = FeatureSpec.from_json(metadata.feature_spec) if metadata.feature_spec else FeatureSpec()
+    return Forecaster(metadata.model_type, model, features, metadata.target_column, spec)

@@ -13,6 +13,7 @@ from hourgrid.functions.clock import moment
 # Approval states and property names of a registry entry.
 PENDING = "PendingManualApproval"
 APPROVED = "Approved"
+REJECTED = "Rejected"
 METRICS = ("mae", "rmse", "mape")
 
 
@@ -33,6 +34,7 @@ def registry_rows(
     end: str = "N/A",
     split: str = "N/A",
     hyperparameters: Mapping[str, str] | None = None,
+    model_path: str | None = None,
 ) -> DataFrame:
     """One pending entry per building from its row of metrics.
 
@@ -78,6 +80,7 @@ def registry_rows(
         F.concat(F.lit(summary), status).alias("description"),
         F.lit(PENDING).alias("approval_status"),
         F.lit(commit).alias("commit_id"),
+        F.lit(model_path).cast("string").alias("model_path"),
         moment(created_at).alias("created_at"),
         F.map_concat(_literal_map({**lineage, **parameters}), scores).alias(
             "properties"
@@ -106,6 +109,11 @@ def latest_per_group(
     return entries.groupBy(*keys).agg(newest.alias("_entry")).select("_entry.*")
 
 
+def with_status(entries: DataFrame, status: str, where: Column) -> DataFrame:
+    """The entries that ``where`` is true of, in another state of approval."""
+    return entries.where(where).withColumn("approval_status", F.lit(status))
+
+
 def latest_approved(registry: DataFrame) -> DataFrame:
     return latest_per_group(registry, where=F.col("approval_status") == APPROVED)
 
@@ -117,3 +125,11 @@ def require_latest_approved(registry: DataFrame, group: str):
     if entry is None:
         raise ValueError(f"Group {group} holds no approved entry")
     return entry
+
+
+def approved_model_path(registry: DataFrame, group: str) -> str:
+    """Where the model of the group's latest approved entry is stored."""
+    entry = require_latest_approved(registry, group)
+    if entry.model_path is None:
+        raise ValueError(f"Entry {entry.model_package_id} names no stored model")
+    return entry.model_path

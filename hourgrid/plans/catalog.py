@@ -14,16 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourgrid.config import INFERENCE_COLUMNS, FeatureSpec, TrendSeasonalParams
+from hourgrid.config import (
+    INFERENCE_COLUMNS,
+    FeatureSpec,
+    QualityThresholds,
+    TrendSeasonalParams,
+)
 from hourgrid.functions.clock import as_datetime, hour_index_of
-from hourgrid.models.store import fit_forecaster
+from hourgrid.models.store import Forecaster, fit_forecaster, load_forecaster
 from hourgrid.models.trend_seasonal import fit_trend_seasonal, linear_trend
 from hourgrid.operators import features as feature_ops
 from hourgrid.operators import horizon, metrics, publish, registry, rollup
 from hourgrid.operators.panel import build_panel
 from hourgrid.operators.panel import panel_range as panel_between
 from hourgrid.plans import pipelines
-from hourgrid.schemas import FORECAST_COLUMNS, PANEL
+from hourgrid.schemas import FORECAST_COLUMNS, PANEL, REGISTRY
 from hourgrid.session import scratch_path
 from hourgrid.sources import event_feeds, readers, writers
 
@@ -54,7 +59,18 @@ REGISTRY_RUN = {
     "start": TRAIN_START,
     "end": TRAIN_END,
     "split": SPLIT,
+    "model_path": "models/run=run-1",
+}
+STUMP_SETTINGS = {
+    "xgb_eta": 0.5,
+    "xgb_max_depth": 1,
+    "xgb_num_boost_round": 1,
+    "xgb_subsample": 1.0,
+    "xgb_colsample_bytree": 1.0,
+    "xgb_alpha": 2.0,
 }
+#: Limits that some buildings pass and others do not.
+SPLIT_LIMITS = QualityThresholds(max_mape=500.0, max_rmse=400.5)
 
 # The tree model of the catalog: small enough to fit while checking results.
 TREE_INPUTS = tuple(name for name in INFERENCE_COLUMNS if name not in KEY)
@@ -404,6 +420,34 @@ def registry_rows(spark: SparkSession, folder: str) -> DataFrame:
     return entries.withColumn("properties", F.array_join(F.array_sort(pairs), ";"))
 
 
+def quality_gate_split(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(metrics.quality_gate(_metrics_by_building(spark, folder), SPLIT_LIMITS))
+
+
+def measures_republish(spark: SparkSession, folder: str) -> DataFrame:
+    """Forecasts published twice, the second time later hours doubled: these replace theirs."""
+    path = scratch_path(spark, "measures")
+    long = _stored(_naive_long(spark, folder), "long")
+    writers.write_measures(long, path)
+    later = F.col("time") >= F.lit(SPLIT).cast("timestamp_ntz")
+    writers.write_measures(long.where(later).withColumn("measure_value", F.col("measure_value") * 2), path)
+    return _rounded(spark.read.parquet(path).select("time", "dim_building_id", "measure_name", "measure_value"))
+
+
+def registry_approved(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs registered, the first approved: its entry leads to its model."""
+    path = scratch_path(spark, "registry")
+    scores = _stored(_metrics_by_building(spark, folder), "scores")
+    for run, day in (("run-1", "2024-02-01"), ("run-2", "2024-02-02")):
+        details = REGISTRY_RUN | {"run_id": run, "created_at": day, "model_path": f"models/run={run}"}
+        writers.append_registry(registry.registry_rows(scores, **details), path)
+    pipelines.run_approval(spark, path, REGISTRY_RUN["group"], "run-1")
+    entries = spark.read.schema(REGISTRY).parquet(path)
+    return registry.latest_approved(entries).select(
+        "model_package_id", "model_package_group", "approval_status", "created_at", "model_path"
+    )
+
+
 # --- Models -------------------------------------------------------------------
 
 
@@ -412,6 +456,70 @@ def trend_fit(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(linear_trend(_consumption(spark, folder), origin))
 
 
+def feature_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Both feature sets written by side, over those of a run without evaluation rows, and read."""
+    path = scratch_path(spark, "features")
+    labelled = _stored(_labelled(spark, folder), "labelled")
+    writers.write_feature_sets(labelled.where("split = 'eval'"), path)
+    writers.write_feature_sets(labelled.where("split = 'train'"), path)
+    writers.write_feature_sets(labelled, path)
+    sides = [
+        readers.read_features(spark, f"{path}/split={side}").withColumn("split", F.lit(side))
+        for side in ("train", "eval")
+    ]
+    return _rounded(sides[0].unionByName(sides[1]))
+
+
+def _stump(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Paths of feature sets and of a model of one tree of one split, trained on them."""
+    features, model = scratch_path(spark, "features"), scratch_path(spark, "model")
+    writers.write_feature_sets(_labelled(spark, folder), features)
+    pipelines.run_training(
+        spark, "XGBoost", f"{features}/split=train", model, ["hour_of_day"], STUMP_SETTINGS
+    )
+    return features, model
+
+
+def train_stump(spark: SparkSession, folder: str) -> DataFrame:
+    features, model = _stump(spark, folder)
+    evaluation = readers.read_features(spark, f"{features}/split=eval")
+    return _rounded(load_forecaster(spark, model).forecast(evaluation))
+
+
+def train_evaluate(spark: SparkSession, folder: str) -> DataFrame:
+    features, model = _stump(spark, folder)
+    report = scratch_path(spark, "report")
+    stored = pipelines.run_evaluation(spark, model, f"{features}/split=eval", report)
+    return _rounded(stored.select("metrics.*", "num_eval_records", "status", "error_message"))
+
+
+def _line_model(spark: SparkSession, folder: str) -> str:
+    """Path of a stored trend model without penalties: a least-squares line per building."""
+    train = panel_between(_stored_panel(spark, folder), TRAIN_START, RANGE_END)
+    first = hour_index_of(as_datetime(TRAIN_START))
+    last = hour_index_of(as_datetime(INFERENCE_START)) - 1
+    params = TrendSeasonalParams(
+        n_changepoints=0, daily_seasonality=False, weekly_seasonality=False, yearly_seasonality=False, regressors=()
+    )
+    line = fit_trend_seasonal(train, params, hours=(first, last), trend_prior_scale=float("inf"))
+    path = scratch_path(spark, "model")
+    Forecaster("trend_seasonal", line, (), "consumption_kwh").save(spark, path)
+    return path
+
+
+def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    model = load_forecaster(spark, _line_model(spark, folder))
+    return _rounded(model.forecast(_stored_panel(spark, folder)))
+
+
+def forecast_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored features to stored forecasts to the frame that publishing reads."""
+    features, forecasts = scratch_path(spark, "horizon"), scratch_path(spark, "forecasts")
+    writers.write_features(_inference_features(spark, folder), features)
+    pipelines.run_forecast(spark, _line_model(spark, folder), features, forecasts)
+    return _rounded(readers.read_forecasts(spark, forecasts))
+
+
 def forecast_trend_seasonal(spark: SparkSession, folder: str) -> DataFrame:
     train = panel_between(_panel(spark, folder), TRAIN_START, RANGE_END)
     first = hour_index_of(as_datetime(TRAIN_START))
@@ -473,7 +581,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         multi_file_union,
         latest_approved,
         registry_rows,
+        registry_approved,
+        quality_gate_split,
+        measures_republish,
+        feature_roundtrip,
         trend_fit,
+        train_stump,
+        train_evaluate,
+        model_roundtrip,
+        forecast_roundtrip,
         forecast_trend_seasonal,
         forecast_gbt,
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from hourgrid.plans import catalog as c
 
 # Shared table expressions ------------------------------------------------------
@@ -258,7 +260,7 @@ SELECT '{_RUN["group"]}/{_RUN["run_id"]}/' || building_id AS model_package_id,
          || 'features from {_RUN["feature_source"]}; evaluation: Success'
          AS description,
        'PendingManualApproval' AS approval_status, '{_RUN["commit"]}' AS commit_id,
-       TIMESTAMP '{_RUN["created_at"]}' AS created_at,
+       '{_RUN["model_path"]}' AS model_path, TIMESTAMP '{_RUN["created_at"]}' AS created_at,
        'EvaluationSplitDate={_RUN["split"]};EvaluationStatus=Success'
          || ';Evaluation_mae=' || printf('%.6f', mae)
          || ';Evaluation_mape=' || printf('%.6f', mape)
@@ -280,6 +282,64 @@ _FEATURE_COLUMNS = (
     )
 )
 
+_STUMP = f"""
+train AS (
+  SELECT hour_of_day, consumption_kwh AS y, avg(consumption_kwh) OVER () AS start
+  FROM features WHERE split = 'train'
+),
+cuts AS (
+  SELECT h.hour_of_day AS cut,
+         sum(CASE WHEN t.hour_of_day <= h.hour_of_day THEN y - start ELSE 0 END) AS low_sum,
+         count(CASE WHEN t.hour_of_day <= h.hour_of_day THEN 1 END) AS low_n,
+         sum(CASE WHEN t.hour_of_day > h.hour_of_day THEN y - start ELSE 0 END) AS high_sum,
+         count(CASE WHEN t.hour_of_day > h.hour_of_day THEN 1 END) AS high_n,
+         min(start) AS start
+  FROM (SELECT DISTINCT hour_of_day FROM train) h, train t
+  GROUP BY h.hour_of_day
+),
+stump AS (
+  SELECT *, sign(low_sum) * greatest(abs(low_sum) - {c.STUMP_SETTINGS["xgb_alpha"]}, 0) / (low_n + 1) AS low,
+         sign(high_sum) * greatest(abs(high_sum) - {c.STUMP_SETTINGS["xgb_alpha"]}, 0) / (high_n + 1) AS high
+  FROM cuts WHERE high_n > 0
+  ORDER BY low_sum * low_sum / low_n + high_sum * high_sum / high_n DESC LIMIT 1
+),
+predicted AS (
+  SELECT building_id, timestamp_hour, consumption_kwh,
+         start + CAST({c.STUMP_SETTINGS["xgb_eta"]} AS DOUBLE)
+           * CASE WHEN hour_of_day <= cut THEN low ELSE high END AS yhat
+  FROM features, stump WHERE split = 'eval'
+),
+errors AS (
+  SELECT abs(consumption_kwh - yhat) AS e, abs(consumption_kwh) AS y FROM predicted
+)"""
+_LINE = f"""
+line AS (
+  SELECT building_id, regr_slope(consumption_kwh, h) AS slope,
+         regr_intercept(consumption_kwh, h) AS intercept
+  FROM (SELECT *, epoch(timestamp_hour) / 3600 - epoch(TIMESTAMP '{c.TRAIN_START}') / 3600 AS h FROM panel)
+  WHERE timestamp_hour >= TIMESTAMP '{c.TRAIN_START}' AND timestamp_hour < TIMESTAMP '{c.INFERENCE_START}'
+  GROUP BY building_id
+),
+spread AS (
+  SELECT building_id, sqrt(avg(power(consumption_kwh - intercept - slope * h, 2))) AS sigma
+  FROM (SELECT *, epoch(timestamp_hour) / 3600 - epoch(TIMESTAMP '{c.TRAIN_START}') / 3600 AS h FROM panel)
+  JOIN line USING (building_id)
+  WHERE timestamp_hour >= TIMESTAMP '{c.TRAIN_START}' AND timestamp_hour < TIMESTAMP '{c.INFERENCE_START}'
+  GROUP BY building_id
+)"""
+
+
+def _line_over(source: str) -> str:
+    # The upper and lower bounds hold 80 % of a normal spread.
+    half = NormalDist().inv_cdf(0.9)
+    yhat = f"intercept + slope * (epoch(timestamp_hour) - epoch(TIMESTAMP '{c.TRAIN_START}')) / 3600"
+    return f"""
+SELECT building_id, timestamp_hour, {_round(yhat)} AS yhat,
+       {_round(f"({yhat}) - sigma * {half!r}")} AS yhat_lower,
+       {_round(f"({yhat}) + sigma * {half!r}")} AS yhat_upper
+FROM {source} LEFT JOIN line USING (building_id) LEFT JOIN spread USING (building_id)"""
+
+
 SQL: dict[str, str] = {
     "src_date_filter": _sql(
         (_EVENTS,),
@@ -442,6 +502,47 @@ FROM (
   FROM orders WHERE o_orderstatus = 'F'
 ) WHERE rn = 1""",
     "registry_rows": _sql(_TO_NAIVE, _REGISTRY),
+    "registry_approved": _sql(
+        _TO_NAIVE,
+        f"""
+SELECT '{_RUN["group"]}/run-1/' || max(building_id) AS model_package_id,
+       '{_RUN["group"]}' AS model_package_group, 'Approved' AS approval_status,
+       TIMESTAMP '2024-02-01' AS created_at, 'models/run=run-1' AS model_path
+FROM {_BY_BUILDING}""",
+    ),
+    "quality_gate_split": _sql(
+        _TO_NAIVE,
+        f"""
+SELECT building_id, {_rounded("mae", "rmse", "mape")}, n,
+       coalesce(mape <= {c.SPLIT_LIMITS.max_mape} AND rmse <= {c.SPLIT_LIMITS.max_rmse}, false) AS passed
+FROM {_BY_BUILDING}""",
+    ),
+    "measures_republish": _sql(
+        _TO_LONG,
+        f"""
+SELECT time, dim_building_id, measure_name,
+       {_round(f"measure_value * CASE WHEN time >= TIMESTAMP '{c.SPLIT}' THEN 2 ELSE 1 END")} AS measure_value
+FROM long""",
+    ),
+    "feature_roundtrip": _sql(
+        _TO_FEATURES, f"\nSELECT {_FEATURE_COLUMNS}, split FROM features"
+    ),
+    "train_stump": _sql(
+        (*_TO_FEATURES, _STUMP),
+        f"""
+SELECT building_id, timestamp_hour, {_round("yhat")} AS yhat,
+       {_round("yhat")} AS yhat_lower, {_round("yhat")} AS yhat_upper
+FROM predicted""",
+    ),
+    "train_evaluate": _sql(
+        (*_TO_FEATURES, _STUMP),
+        f"""
+SELECT {_rounded("mae", "rmse", "mape")}, n AS num_eval_records, 'Success' AS status,
+       CAST(NULL AS VARCHAR) AS error_message
+FROM {_OVERALL}""",
+    ),
+    "model_roundtrip": _sql((*_TO_PANEL, _LINE), _line_over("panel")),
+    "forecast_roundtrip": _sql((*_TO_INFERENCE, _LINE), _line_over("inference")),
     "trend_fit": _sql(
         _TO_CONSUMPTION,
         f"""

@@ -181,6 +181,10 @@ def run_feature_engineering(
     return writers.write_feature_sets(labelled, output_path)
 
 
+def model_version(root: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/run={run_id}"
+
+
 def run_training(
     spark: SparkSession,
     strategy: str,
@@ -189,11 +193,17 @@ def run_training(
     feature_columns: Sequence[str] = (),
     hyperparameters: Mapping[str, Any] | None = None,
     target: str = "consumption_kwh",
+    spec: FeatureSpec | None = None,
 ) -> Forecaster:
+    """Fit, store and reload a model; ``spec`` says how its features were made.
+
+    Give every run a ``model_path`` of its own (``model_version``), so a registered model
+    is never overwritten by a later one.
+    """
     train = readers.read_features(spark, train_path)
     if train.isEmpty():
         raise ValueError("There are no rows to train on")
-    fitted = fit_forecaster(strategy, train, feature_columns, hyperparameters, target)
+    fitted = fit_forecaster(strategy, train, feature_columns, hyperparameters, target, spec)
     fitted.save(spark, model_path)
     # The stored model: what a fresh fit computes lazily is only read from here on.
     return load_forecaster(spark, model_path)
@@ -270,10 +280,21 @@ def run_registration(
         end=run.end,
         split=run.split,
         hyperparameters=params.as_strings(),
+        model_path=model_path,
     )
     return writers.append_registry(entries, registry_path)
 
 
+def run_approval(
+    spark: SparkSession, registry_path: str, group: str, run_id: str, status: str = registry.APPROVED
+) -> int:
+    """Set the state of all entries of a run in a group; returns how many it has."""
+    own = F.startswith("model_package_id", F.lit(f"{group}/{run_id}/"))
+    return writers.set_approval(
+        spark, registry_path, status, (F.col("model_package_group") == group) & own
+    )
+
+
 # --- Inference and publishing -------------------------------------------------
 
 
@@ -371,10 +392,15 @@ def run_inference(
     measures_path: str,
     horizon_hours: int = HORIZON_HOURS,
     lookback_days: int = LOOKBACK_DAYS,
-    columns: Sequence[str] = INFERENCE_COLUMNS,
+    columns: Sequence[str] | None = None,
     spec: FeatureSpec | None = None,
 ) -> int:
-    """Features, forecast and publication in one application."""
+    """Features, forecast and publication in one application.
+
+    Columns and spec are by default those that the stored model was trained with.
+    """
+    model = load_forecaster(spark, model_path)
+    columns, spec = columns or model.serving_columns, spec or model.spec
     features_path, forecasts_path = f"{work_path}/features", f"{work_path}/forecasts"
     written = run_inference_features(
         spark,
@@ -392,3 +418,32 @@ def run_inference(
         return 0
     run_forecast(spark, model_path, features_path, forecasts_path)
     return run_publish(spark, forecasts_path, measures_path)
+
+
+def run_group_inference(
+    spark: SparkSession,
+    registry_path: str,
+    group: str,
+    panel_path: str,
+    weather_forecast_path: str,
+    calendar_path: str,
+    start: str,
+    work_path: str,
+    measures_path: str,
+    horizon_hours: int = HORIZON_HOURS,
+    lookback_days: int = LOOKBACK_DAYS,
+) -> int:
+    """Inference with the model of the group's latest approved registry entry."""
+    entries = spark.read.schema(schemas.REGISTRY).parquet(registry_path)
+    return run_inference(
+        spark,
+        registry.approved_model_path(entries, group),
+        panel_path,
+        weather_forecast_path,
+        calendar_path,
+        start,
+        work_path,
+        measures_path,
+        horizon_hours,
+        lookback_days,
+    )

@@ -94,6 +94,7 @@ MODEL_METADATA = T.StructType(
         T.StructField("feature_columns", T.ArrayType(STRING)),
         T.StructField("target_column", STRING),
         T.StructField("layout", STRING),
+        T.StructField("feature_spec", STRING),
     ]
 )
 
@@ -105,6 +106,7 @@ REGISTRY = T.StructType(
         T.StructField("description", STRING),
         T.StructField("approval_status", STRING),
         T.StructField("commit_id", STRING),
+        T.StructField("model_path", STRING),
         T.StructField("created_at", HOUR),
         T.StructField("properties", T.MapType(STRING, STRING)),
     ]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +14,7 @@ from hourgrid.functions.clock import as_datetime, parse_timestamp
 from hourgrid.operators.contributions import CORRUPT
 from hourgrid.operators.rollup import between_dates
 from hourgrid.schemas import PANEL_PARTITIONS
+from hourgrid.session import scratch_path
 
 # File suffixes a forecast folder may hold.
 PARQUET_SUFFIXES = (".parquet",)
@@ -121,38 +121,49 @@ def read_features(
 def _forecast_csv(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """CSV files matched by the names in their headers, whatever order or extras.
 
-    Files are read together per distinct header; the driver sees headers and paths.
+    The text is read once, into the shared folder, with each line's file and number. A
+    file's header is its first line; the table of headers stays in Spark and is joined to
+    the lines. The driver sees one number, the width of the widest header.
     """
+    staged = scratch_path(spark, "csv_lines")
     lines = spark.read.option("pathGlobFilter", glob or "*").text(path)
-    first_name, *_ = schemas.FORECAST_COLUMNS
-    is_header = F.array_contains(F.split("value", '"?,"?'), first_name)
+    lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("number"),
+    ).where(F.trim("value") != "").write.parquet(staged)
+    kept = spark.read.parquet(staged)
+    # Lines of a block are numbered in order, and the first block of a file starts at 0.
     headers = (
-        lines.select("value", F.col("_metadata.file_path").alias("file"))
-        .where(is_header | F.startswith("value", F.lit(f'"{first_name}"')))
-        .groupBy("value")
-        .agg(F.collect_set("file").alias("files"))
-        .collect()
+        kept.where("start = 0")
+        .groupBy("file")
+        .agg(F.min(F.struct("number", "value")).alias("first"))
+        .select("file", F.col("first.number").alias("header_number"), F.col("first.value").alias("header"))
+    )
+    commas = F.length("header") - F.length(F.replace("header", F.lit(","), F.lit("")))
+    width = (headers.agg(F.max(commas)).first()[0] or 0) + 1
+    cells = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+
+    def split(line: str) -> Column:
+        parsed = F.from_csv(line, cells.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
+        return F.array(*(parsed[name] for name in cells.fieldNames()))
+
+    names = headers.select("file", "header_number", F.transform(split("header"), F.trim).alias("names"))
+    rows = (
+        kept.join(names, "file")
+        .where(F.col("number") != F.col("header_number"))
+        .select("names", split("value").alias("cells"))
     )
-    parts = [_csv_columns(spark, row.value, row.files) for row in headers]
-    empty = spark.createDataFrame([], schemas.FORECAST)
-    return reduce(DataFrame.unionByName, parts, empty)
-
-
-def _csv_columns(spark: SparkSession, header: str, files: list[str]) -> DataFrame:
-    """The forecast columns of files that share a header; absent ones are NULL."""
-    names = [name.strip().strip('"') for name in header.split(",")]
-    as_text = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    frame = spark.read.schema(as_text).option("header", "true").csv(files)
 
     def read(field: T.StructField) -> Column:
-        if field.name not in names:
-            return F.lit(None).cast(field.dataType)
+        place = F.array_position("names", F.lit(field.name)).cast("int")
+        cell = F.get("cells", place - 1)
         if field.name == "timestamp_hour":
-            plain = F.col(field.name).try_cast("timestamp_ntz")
-            return F.coalesce(parse_timestamp(field.name), plain)
-        return F.col(field.name).try_cast(field.dataType)
+            return F.coalesce(parse_timestamp(cell), cell.try_cast("timestamp_ntz"))
+        return cell.try_cast(field.dataType)
 
-    return frame.select(*[read(field).alias(field.name) for field in schemas.FORECAST])
+    return rows.select(*[read(field).alias(field.name) for field in schemas.FORECAST])
 
 
 def _forecast_parquet(

@@ -8,8 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from hourgrid.operators import registry
 from hourgrid.operators.contributions import PARTITIONS, SCHEMA
-from hourgrid.schemas import PANEL_PARTITIONS, PANEL_VALUES
+from hourgrid.schemas import PANEL_PARTITIONS, PANEL_VALUES, REGISTRY
 from hourgrid.session import scratch_path
 
 
@@ -237,9 +238,18 @@ def register_panel(
 def write_feature_sets(features: DataFrame, path: str) -> int:
     """Both sides of the split in one job: ``path/split=train`` and ``split=eval``.
 
-    A side without rows leaves its folder as it was.
+    A side without rows is left empty, with its columns, whatever an earlier run wrote.
     """
-    return _write_partitions(features, path, ("split",))
+    spark = features.sparkSession
+    staged = scratch_path(spark, "features")
+    features.write.parquet(staged)
+    kept = spark.read.schema(features.schema).parquet(staged)
+    present = {values[0] for values in _partition_values(kept.select("split"))}
+    rows = _write_partitions(kept, path, ("split",)) if present else 0
+    for side in {"train", "eval"} - present:
+        none = kept.where(F.lit(False)).drop("split").coalesce(1)
+        none.write.mode("overwrite").parquet(f"{path.rstrip('/')}/split={side}")
+    return rows
 
 
 def write_features(features: DataFrame, path: str) -> None:
@@ -278,6 +288,12 @@ def write_evaluation_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
 
 
+def set_approval(spark: SparkSession, path: str, status: str, where: Column) -> int:
+    """Change the state of stored registry entries; returns how many."""
+    stored = spark.read.schema(REGISTRY).parquet(path)
+    return append_registry(registry.with_status(stored, status, where), path)
+
+
 def append_registry(entries: DataFrame, path: str) -> int:
     """Add a run's entries; a repeated run replaces its own, pending again."""
     return _merge_partitions(

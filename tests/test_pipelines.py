@@ -18,8 +18,8 @@ from frames import (
 )
 from pyspark.sql import functions as F
 
-from hourgrid.config import TREE_FEATURES, QualityThresholds
-from hourgrid.operators import publish
+from hourgrid.config import TREE_FEATURES, FeatureSpec, QualityThresholds
+from hourgrid.operators import publish, registry
 from hourgrid.operators.panel import with_date_parts
 from hourgrid.plans import pipelines
 from hourgrid.sources import readers, writers
@@ -168,7 +168,8 @@ def inputs(spark, tmp_path):
     ("strategy", "settings"),
     [
         ("Prophet", {}),
-        ("XGBoost", {"xgb_max_depth": 3, "xgb_num_boost_round": 5}),
+        # Every tree is shrunk by eta, the first too, so five rounds need a larger one.
+        ("XGBoost", {"xgb_max_depth": 3, "xgb_num_boost_round": 5, "xgb_eta": 0.4}),
     ],
 )
 def test_train_evaluate_register_and_publish(spark, tmp_path, inputs, strategy, settings):
@@ -225,7 +226,6 @@ def test_train_evaluate_register_and_publish(spark, tmp_path, inputs, strategy,
         "2025-08-31",
         path["work"],
         path["measures"],
-        columns=("building_id", "timestamp_hour", *TREE_FEATURES),
     )
     assert written == 2 * 72 * 3
     measures = spark.read.parquet(path["measures"])
@@ -234,6 +234,52 @@ def test_train_evaluate_register_and_publish(spark, tmp_path, inputs, strategy,
     assert served.where("measure_value IS NULL").isEmpty()
 
 
+def test_group_inference_uses_the_approved_model_and_its_columns(spark, tmp_path, inputs):
+    """Two versions are registered; the approved one serves, with the features it was trained on."""
+    spec = FeatureSpec(lags={"consumption_kwh": (36,)}, rolling={}, mode="hours")
+    columns = ("building_id", "timestamp_hour", "consumption_kwh", "hour_of_day", "consumption_lag_36h")
+    features, registered = str(tmp_path / "features"), str(tmp_path / "registry")
+    days = ("2025-08-01", "2025-08-30", "2025-08-25")
+    pipelines.run_feature_engineering(spark, inputs["panel"], *days, features, spec, columns)
+    settings = {"xgb_max_depth": 3, "xgb_num_boost_round": 3, "xgb_subsample": 1.0}
+    for run, used in (("r1", ["hour_of_day", "consumption_lag_36h"]), ("r2", ["hour_of_day"])):
+        model = pipelines.model_version(str(tmp_path / "models"), run)
+        pipelines.run_training(spark, "XGBoost", f"{features}/split=train", model, used, settings, spec=spec)
+        details = pipelines.RunDetails("g", run, datetime(2025, 8, 30 + (run == "r2")))
+        loose = QualityThresholds(max_mape=1e9, max_rmse=1e9)
+        pipelines.run_registration(spark, model, f"{features}/split=eval", registered, details, settings, loose)
+    args = (inputs["panel"], inputs["forecast"], inputs["calendar"], "2025-08-31")
+    paths = (str(tmp_path / "work"), str(tmp_path / "measures"))
+    with pytest.raises(ValueError, match="no approved entry"):
+        pipelines.run_group_inference(spark, registered, "g", *args, *paths)
+    assert pipelines.run_approval(spark, registered, "g", "r1") == 2
+    assert pipelines.run_approval(spark, registered, "g", "nothing") == 0
+    assert pipelines.run_group_inference(spark, registered, "g", *args, *paths) == 2 * 72 * 3
+    made = spark.read.parquet(f"{paths[0]}/features")
+    assert made.columns == ["building_id", "timestamp_hour", "hour_of_day", "consumption_lag_36h"]
+    # Approving the newer run changes what serves.
+    assert pipelines.run_approval(spark, registered, "g", "r2") == 2
+    pipelines.run_group_inference(spark, registered, "g", *args, *paths)
+    assert spark.read.parquet(f"{paths[0]}/features").columns == made.columns[:3]
+    assert pipelines.run_approval(spark, registered, "g", "r2", registry.REJECTED) == 2
+    entries = spark.read.parquet(registered)
+    assert registry.approved_model_path(entries, "g").endswith("run=r1")
+
+
+def test_a_side_without_rows_is_empty(spark, tmp_path):
+    panel = _stored_panel(spark, training_panel(spark), str(tmp_path / "panel"))
+    target = str(tmp_path / "features")
+    days = ("2025-08-01", "2025-08-10")
+    pipelines.run_feature_engineering(spark, panel, *days, "2025-08-08", target)
+    for split, sides in (("2025-09-01", (432, 0)), ("2025-08-01", (0, 432)), ("2025-08-08", (288, 144))):
+        assert pipelines.run_feature_engineering(spark, panel, *days, split, target) == 432
+        read = [readers.read_features(spark, f"{target}/split={side}") for side in ("train", "eval")]
+        assert tuple(r.count() for r in read) == sides
+        assert read[0].columns == read[1].columns and "consumption_lag_24h" in read[0].columns
+    assert pipelines.run_feature_engineering(spark, panel, "2020-01-01", "2020-01-02", "2020-01-02", target) == 0
+    assert readers.read_features(spark, f"{target}/split=train").isEmpty()
+
+
 def test_missing_history_or_weather_gives_no_features(spark, tmp_path, inputs):
     def run(start):
         return pipelines.calculate_inference_features(

@@ -110,6 +110,37 @@ def test_csv_columns_go_by_header(spark, tmp_path):
     ]
 
 
+def test_csv_header_is_the_first_line_of_its_file(spark, tmp_path):
+    """Lines that look like a header stay data; quoted cells keep their commas."""
+    (tmp_path / "a.csv").write_text(
+        '"note","building_id","timestamp_hour","yhat"\n'
+        '"a, b","building_id",2025-06-02 03:00:00,7.5\n'
+        "\n"
+        'building_id,"N,7",2025-06-02 05:00:00,\n'
+    )
+    (tmp_path / "b.csv").write_text("yhat\n")
+    (tmp_path / "c.csv").write_text("")
+    rows = sorted(map(tuple, readers.read_forecasts(spark, str(tmp_path)).collect()))
+    assert rows == [
+        ("N,7", datetime(2025, 6, 2, 5), None, None, None),
+        ("building_id", datetime(2025, 6, 2, 3), 7.5, None, None),
+    ]
+
+
+def test_csv_files_larger_than_a_block(spark, tmp_path):
+    lines = [f"N7,2025-06-02 03:00:00,{i}.0,0,0" for i in range(3000)]
+    for name in ("a", "b"):
+        text = "\n".join(["building_id,timestamp_hour,yhat,yhat_lower,yhat_upper", *lines])
+        (tmp_path / f"{name}.csv").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = readers.read_forecasts(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r.yhat for r in found) == sorted(2 * [float(i) for i in range(3000)])
+
+
 def test_other_file_types_are_refused(spark, tmp_path):
     (tmp_path / "forecasts.xlsx").write_text("x")
     with pytest.raises(ValueError, match="Neither Parquet nor CSV"):
