@@ -222,12 +222,33 @@ def test_bpe(docs, empty):
         text = "".join(rng.choices("abAB  é日\n🎉\0<|endoftext|>", k=rng.randint(0, 60)))
         assert code.ids(text) == own.encode_ordinary(text)
     assert code.ids("ab" * 5000) == own.encode_ordinary("ab" * 5000)
+    # Matches merged together: every length up to beyond the widest, repeats and ties within.
+    many = ["".join(rng.choices("abcé🎉z", k=size)) for size in range(1, 80) for _ in range(6)]
+    many += ["a" * size for size in range(1, 70)] + ["", " ", "\n\n"]
+    packed = bpe.Encoder().packed(many)
+    assert [np.frombuffer(x, np.int32).tolist() for x in packed] == [own.encode_ordinary(t) for t in many]
+    for text in many:
+        raw = text.encode()
+        if 2 <= len(raw) <= 64:
+            assert np.frombuffer(code.merger.merge([raw])[0], np.int32).tolist() == list(bpe.merged(raw, code.rank)) or raw in code.rank
     found = bpe.encode(docs, keep=("doc_id", "text")).select("text", "token_ids", bpe.decode("token_ids").alias("back"))
     for r in found.collect():
         assert r.token_ids == own.encode_ordinary(r.text or "")
         assert bytes(r.back) == (r.text or "").encode()
     assert bpe.encode(docs).columns == [*docs.columns, "token_ids"]
     assert bpe.encode(empty).count() == 0
+    odd = docs.selectExpr("CASE WHEN doc_id % 2 = 0 THEN array(1, 2, 50255) WHEN doc_id % 2 = 1 THEN array() END AS ids")
+    table = bpe.pieces()
+    wanted = {(1, 2, 50255): table[1] + table[2] + table[50255], (): b"", None: b""}
+    for r in odd.select("ids", bpe.decode("ids").alias("back")).collect():
+        assert bytes(r.back) == wanted[None if r.ids is None else tuple(r.ids)]
+
+
+def test_bpe_forgets_matches_over_the_bound(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED", 5)
+    own, code = _tiktoken(), bpe.Encoder()
+    for text in ["zq xw vk jj", "qqz wwx", "zq xw vk jj qqz wwx kkv yyq", "zq"]:
+        assert code.ids(text) == own.encode_ordinary(text)
 
 
 def test_secrets(spark, docs, empty):
