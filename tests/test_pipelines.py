@@ -168,8 +168,8 @@ def inputs(spark, tmp_path):
     ("strategy", "settings"),
     [
         ("Prophet", {}),
-        # Every tree is shrunk by eta, the first too, so five rounds need a larger one.
-        ("XGBoost", {"xgb_max_depth": 3, "xgb_num_boost_round": 5, "xgb_eta": 0.4}),
+        # Every tree is shrunk by eta, the first too: few rounds need a larger one.
+        ("XGBoost", {"xgb_max_depth": 3, "xgb_num_boost_round": 12, "xgb_eta": 0.4}),
     ],
 )
 def test_train_evaluate_register_and_publish(spark, tmp_path, inputs, strategy, settings):
