@@ -13,6 +13,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
@@ -22,14 +23,15 @@ from pyspark.sql import functions as F
 from hourgrid.llm.common import byte_texts, fold, present, small_batches, stored
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Labelled documents, in expectation, that the piece probabilities are fitted on.
-SAMPLE_DOCS = 4_000
+#: Labelled documents per language, in expectation, that the piece probabilities are fitted on.
+SAMPLE_DOCS = 1_000
 SAMPLE_SEED = 11
 ROUNDS = 2
-#: Longest piece, and the longest run of letters that is segmented as one.
-PIECE_CHARS, RUN_CHARS = 8, 32
 SMOOTHING = 0.1
-CACHED = 400_000
+#: Runs remembered per Python worker; runs up to this length are summed many at a time.
+CACHED, TOGETHER_CHARS = 400_000, 64
+#: Runs up to this length cannot leave the range of a double; longer ones are rescaled.
+PLAIN_CHARS = 32
 _LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = ""
 
@@ -40,71 +42,182 @@ def vocabulary(name: str = VOCABULARY) -> list[str]:
     found = set()
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i).lower().replace("▁", "_")
-        if piece.lstrip("_").isalpha() and piece.count("_") <= 1 and len(piece) <= PIECE_CHARS:
+        if piece.lstrip("_").isalpha() and piece.count("_") <= 1:
             found.add(piece)
     return sorted(found | {"_", UNKNOWN})
 
 
 def letter_runs(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    """Runs of letters, lower-cased; signs like a half are no letters."""
+    out = []
+    for run in _LETTERS.findall(text.lower()):
+        if run.isalpha():
+            out.append(run)
+        else:
+            out += "".join(c if c.isalpha() else " " for c in run).split()
+    return out
 
 
-def _chunks(run: str) -> list[str]:
-    """A run as segmented, cut after every 32 letters."""
-    marked = "_" + run
-    return [marked[i : i + RUN_CHARS] for i in range(0, len(marked), RUN_CHARS)]
+def longest(table: dict) -> int:
+    return max(map(len, table))
 
 
-def _spans(chunk: str, table: dict) -> list[list[tuple[int, str]]]:
+def _spans(marked: str, table: dict, most: int) -> list[list[tuple[int, str]]]:
     """For each end, the starts of pieces and the pieces; an unknown letter is UNKNOWN."""
     out = []
-    for end in range(1, len(chunk) + 1):
+    for end in range(1, len(marked) + 1):
         found = []
-        for start in range(max(0, end - PIECE_CHARS), end):
-            piece = chunk[start:end]
+        for start in range(max(0, end - most), end):
+            piece = marked[start:end]
             if piece in table:
                 found.append((start, piece))
-        if chunk[end - 1] not in table:
+        if marked[end - 1] not in table:
             found.append((end - 1, UNKNOWN))
         out.append(found)
     return out
 
 
-def forward(run: str, table: dict[str, tuple[float, ...]], languages: int) -> tuple[float, ...]:
-    """log probability of a run in each language, over all segmentations."""
-    total = [0.0] * languages
-    for chunk in _chunks(run):
-        sums = [[1.0] * languages]
-        for found in _spans(chunk, table):
-            here = [0.0] * languages
-            for start, piece in found:
-                before, p = sums[start], table[piece]
-                for k in range(languages):
-                    here[k] += before[k] * p[k]
-            sums.append(here)
+def forward(run: str, table: dict[str, tuple[float, ...]], languages: int, most: int | None = None) -> tuple[float, ...]:
+    """log probability of a run in each language, over all segmentations.
+
+    ``most`` is the longest piece's length. Sums that get small are rescaled, with all sums
+    that a later piece can still start from, so a run may be of any length.
+    """
+    most = most or longest(table)
+    sums, logs = [[1.0] * languages], [0.0] * languages
+    for found in _spans("_" + run, table, most):
+        here = [0.0] * languages
+        for start, piece in found:
+            before, p = sums[start], table[piece]
+            for k in range(languages):
+                here[k] += before[k] * p[k]
+        sums.append(here)
         for k in range(languages):
-            total[k] += math.log(sums[-1][k])
-    return tuple(total)
+            if here[k] < 1e-100:
+                scale = here[k]
+                logs[k] += math.log(scale)
+                for row in sums[-most:]:
+                    row[k] /= scale
+    return tuple(log + math.log(x) for log, x in zip(logs, sums[-1], strict=True))
 
 
-def expected(run: str, table: dict[str, tuple[float, ...]], k: int) -> dict[str, float]:
+def expected(run: str, table: dict[str, tuple[float, ...]], k: int, most: int | None = None) -> dict[str, float]:
     """Expected piece counts of a run in language k, by forward and backward sums."""
+    marked = "_" + run
+    spans = _spans(marked, table, most or longest(table))
+    out: dict[str, float] = defaultdict(float)
+    if len(marked) > PLAIN_CHARS:
+        return _expected_logs(spans, table, k)
+    ahead = [1.0]
+    for found in spans:
+        ahead.append(sum(ahead[start] * table[piece][k] for start, piece in found))
+    back = [0.0] * (len(marked) + 1)
+    back[-1] = 1.0
+    for end in range(len(marked), 0, -1):
+        for start, piece in spans[end - 1]:
+            weight = table[piece][k] * back[end]
+            back[start] += weight
+            out[piece] += ahead[start] * weight / ahead[-1]
+    return out
+
+
+def _log_sum(values: list[float]) -> float:
+    top = max(values)
+    return top + math.log(sum(math.exp(x - top) for x in values))
+
+
+def _expected_logs(spans: list[list[tuple[int, str]]], table: dict, k: int) -> dict[str, float]:
+    """``expected`` in logarithms, for runs of any length."""
+    ahead = [0.0]
+    for found in spans:
+        ahead.append(_log_sum([ahead[start] + math.log(table[piece][k]) for start, piece in found]))
+    follow: list[list[float]] = [[] for _ in ahead]
+    follow[-1].append(0.0)
     out: dict[str, float] = defaultdict(float)
-    for chunk in _chunks(run):
-        spans = _spans(chunk, table)
-        ahead = [1.0]
-        for found in spans:
-            ahead.append(sum(ahead[start] * table[piece][k] for start, piece in found))
-        back = [0.0] * (len(chunk) + 1)
-        back[-1] = 1.0
-        for end in range(len(chunk), 0, -1):
-            for start, piece in spans[end - 1]:
-                weight = table[piece][k] * back[end]
-                back[start] += weight
-                out[piece] += ahead[start] * weight / ahead[-1]
+    for end in range(len(spans), 0, -1):
+        back = _log_sum(follow[end])
+        for start, piece in spans[end - 1]:
+            weight = math.log(table[piece][k]) + back
+            follow[start].append(weight)
+            out[piece] += math.exp(ahead[start] + weight - ahead[-1])
     return out
 
 
+class Segmenter:
+    """The forward sums of many runs at once: a trie of pieces, read by all runs together."""
+
+    def __init__(self, table: dict[str, tuple[float, ...]]):
+        self.table, self.most = table, longest(table)
+        pieces = list(table)
+        self.languages = len(table[UNKNOWN])
+        self.share = np.array([table[piece] for piece in pieces]).reshape(len(pieces), self.languages)
+        self.unknown = pieces.index(UNKNOWN)
+        ends = {"": 0}
+        edges: dict[int, int] = {}
+        last = [-1]
+        for number, piece in enumerate(pieces):
+            state = 0
+            for i, letter in enumerate(piece):
+                after = ends.setdefault(piece[: i + 1], len(last))
+                if after == len(last):
+                    last.append(-1)
+                edges[state << 21 | ord(letter)] = after
+                state = after
+            if piece:
+                last[state] = number
+        self.keys = np.array(sorted(edges), np.int64)
+        self.next = np.array([edges[key] for key in self.keys.tolist()], np.int64)
+        self.last = np.array(last)
+
+    def logs(self, runs: list[str]) -> np.ndarray:
+        """A row of log probabilities per run."""
+        out = np.zeros((len(runs), self.languages))
+        sizes = np.array([len(run) for run in runs])
+        for size in np.unique(sizes).tolist():
+            own = np.flatnonzero(sizes == size)
+            if size > TOGETHER_CHARS:
+                for i in own.tolist():
+                    out[i] = forward(runs[i], self.table, self.languages, self.most)
+            else:
+                out[own] = self._together(["_" + runs[i] for i in own.tolist()], size + 1)
+        return out
+
+    def _together(self, marked: list[str], size: int) -> np.ndarray:
+        rows = len(marked)
+        codes = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).reshape(rows, size)
+        codes = codes.astype(np.int64)
+        sums = np.zeros((rows, size + 1, self.languages))
+        sums[:, 0] = 1.0
+        scaled = np.zeros((rows, self.languages))
+        state = np.empty(rows, np.int64)
+        for start in range(size):
+            small = np.flatnonzero((sums[:, start] < 1e-100).any(axis=1))
+            if len(small):
+                by = sums[small, start]
+                scaled[small] += np.log(by)
+                sums[small, start:] /= by[:, None]
+            live = np.arange(rows)
+            state[:] = 0
+            for end in range(start, min(start + self.most, size)):
+                key = state[live] << 21 | codes[live, end]
+                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                known = self.keys[at] == key
+                live, at = live[known], at[known]
+                if len(live):
+                    state[live] = self.next[at]
+                    piece = self.last[state[live]]
+                    whole = piece >= 0
+                    row = live[whole]
+                    sums[row, end + 1] += sums[row, start] * self.share[piece[whole]]
+                if end == start:
+                    alone = np.ones(rows, bool)
+                    alone[live] = self.last[state[live]] < 0
+                    sums[alone, end + 1] += sums[alone, start] * self.share[self.unknown]
+                if not len(live):
+                    break
+        return scaled + np.log(sums[:, size])
+
+
 def _fit_round(sample: DataFrame, languages: list[str], table: dict) -> dict:
     shared = sample.sparkSession.sparkContext.broadcast(table)
     place = {name: k for k, name in enumerate(languages)}
@@ -117,8 +230,9 @@ def _fit_round(sample: DataFrame, languages: list[str], table: dict) -> dict:
                 k = place[lang]
                 runs.update((k, run) for run in letter_runs(text.decode()))
             sums: dict = defaultdict(float)
+            most = longest(shared.value)
             for (k, run), n in runs.items():
-                for piece, weight in expected(run, shared.value, k).items():
+                for piece, weight in expected(run, shared.value, k, most).items():
                     sums[k, piece] += n * weight
             yield pa.record_batch(
                 {
@@ -148,13 +262,17 @@ def _fit_round(sample: DataFrame, languages: list[str], table: dict) -> dict:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang"):
     """(languages, piece -> probabilities) from rows with a language.
 
-    A table without labelled rows gives no languages.
+    The sample is drawn per language, so a rare one is kept whole. The driver sees the
+    languages' counts. A table without labelled rows gives no languages.
     """
     known = labelled.where(F.col(lang).isNotNull()).select(
         present(F.col(text)).cast("binary").alias("text"), F.col(lang).alias("lang")
     )
-    share = min(1.0, SAMPLE_DOCS / max(known.count(), 1))
-    sample = stored(known.sample(share, seed=SAMPLE_SEED), "languages").repartition(16)
+    sizes = {row["lang"]: row["count"] for row in known.groupBy("lang").count().collect()}
+    shares = {lang: min(1.0, SAMPLE_DOCS / size) for lang, size in sizes.items()}
+    # sampleBy needs a value to start from, also for a table without labelled rows.
+    drawn = known.sampleBy("lang", shares, SAMPLE_SEED) if shares else known.limit(0)
+    sample = stored(drawn, "languages").repartition(16)
     languages = sorted(row["lang"] for row in sample.select("lang").distinct().collect())
     pieces = vocabulary()
     table = {piece: (1.0 / len(pieces),) * len(languages) for piece in pieces}
@@ -177,29 +295,29 @@ def predict(docs: DataFrame, model, text: str = "text") -> DataFrame:
     count = len(languages)
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[float, ...]] = {}
-        pieces = shared.value
+        segmenter = Segmenter(shared.value) if count else None
+        known: dict[str, int] = {}
+        logs = np.zeros((0, count))
         for part in parts:
+            found = [letter_runs(raw.decode()) for raw in byte_texts(part.column("text"))]
+            if segmenter is not None:
+                unseen = set().union(*found) - known.keys()
+                if len(known) + len(unseen) > CACHED:
+                    known, logs = {}, np.zeros((0, count))
+                    unseen = set().union(*found)
+                fresh = sorted(unseen)
+                known.update(zip(fresh, range(len(known), len(known) + len(fresh)), strict=True))
+                logs = np.concatenate([logs, segmenter.logs(fresh)])
             names, values = [], []
-            for raw in byte_texts(part.column("text")):
-                runs = Counter(letter_runs(raw.decode()))
+            for runs in found:
                 if not runs or not count:
                     names.append("und")
                     values.append(0.0)
                     continue
-                total = [0.0] * count
-                for run, n in runs.items():
-                    logs = known.get(run)
-                    if logs is None:
-                        logs = forward(run, pieces, count)
-                        if len(known) >= CACHED:
-                            known.clear()
-                        known[run] = logs
-                    for k in range(count):
-                        total[k] += n * logs[k]
-                best = max(total)
-                names.append(languages[total.index(best)])
-                values.append(1.0 / sum(math.exp(x - best) for x in total))
+                total = logs[np.fromiter(map(known.__getitem__, runs), np.int64, len(runs))].sum(axis=0)
+                best = int(total.argmax())
+                names.append(languages[best])
+                values.append(float(1.0 / np.exp(total - total[best]).sum()))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),

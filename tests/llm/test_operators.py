@@ -138,7 +138,7 @@ def test_language(spark, empty):
         lang = rng.choice(sorted(sounds))
         text = " ".join("".join(rng.choices(sounds[lang], k=2)) for _ in range(30))
         rows.append((i, text, lang, None, None, "", 0))
-    rows += [(200, None, "aa", None, None, "", 0), (201, "12 -- 7", None, None, None, "", 0), (None, "the", None, None, None, "", 0)]
+    rows += [(200, None, "aa", None, None, "", 0), (201, "12 -- 7 ½ ² ①", None, None, None, "", 0), (None, "the", None, None, None, "", 0)]
     frame = spark.createDataFrame(rows, SCHEMA)
     found = {r.doc_id: r for r in langid.identify(frame).collect()}
     for i, _, lang, *_ in rows[:120]:
@@ -161,6 +161,26 @@ def test_forward_sums_all_segmentations():
     counts = langid.expected("ab", table, 0)
     assert sum(len(x) * n for x, n in counts.items()) == pytest.approx(3)
     assert math.isfinite(langid.forward("z" * 5000, table, 1)[0])
+    # Long runs have no cut: pieces lie across every place, and logarithms equal plain sums.
+    assert langid.forward("ab" * 12, table, 1)[0] == pytest.approx(math.log(total("_" + "ab" * 12)))
+    long = langid.expected("abzab" * 30, table, 0)
+    assert sum(max(len(x), 1) * n for x, n in long.items()) == pytest.approx(151)
+    plain = langid.expected("abba", table, 0)
+    logs = langid._expected_logs(langid._spans("_abba", table, 2), table, 0)
+    assert logs == {x: pytest.approx(n) for x, n in plain.items()}
+
+
+def test_runs_summed_together_equal_one_by_one():
+    rng = random.Random(7)
+    letters = "abcdéß日"
+    pieces = {"".join(rng.choices(letters, k=rng.randint(1, 5))) for _ in range(60)} - {"d"}
+    pieces |= {"_" + x for x in list(pieces)[:20]} | {"_", langid.UNKNOWN}
+    table = {x: (rng.uniform(1e-9, 0.1), rng.uniform(1e-9, 0.1), 1e-12) for x in sorted(pieces)}
+    runs = ["".join(rng.choices(letters + "dq", k=rng.choice([1, 2, 5, 11, 40, 63, 64, 65, 300]))) for _ in range(150)]
+    found = langid.Segmenter(table).logs(runs)
+    for row, run in zip(found.tolist(), runs, strict=True):
+        assert row == pytest.approx(langid.forward(run, table, 3), rel=1e-9)
+    assert langid.letter_runs("A½b²c ①ｄ_e9f") == ["a", "b", "c", "ｄ", "e", "f"]
 
 
 def test_merkle(docs, empty):
