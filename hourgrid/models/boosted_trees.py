@@ -25,6 +25,8 @@ from hourgrid.session import scratch_path
 
 #: Rounds after which the running predictions are written to the shared folder.
 STORED_ROUNDS = 10
+#: Split candidates per feature: with few, none may lie in a gap between groups of rows.
+BINS = 256
 _NODES = (
     "tree int, node int, feature int, threshold double, left int, right int, value double"
 )
@@ -110,6 +112,7 @@ def fit_boosted_trees(
             featuresCol="_features",
             labelCol="_r",
             maxDepth=params.max_depth,
+            maxBins=BINS,
             minInstancesPerNode=params.min_child_weight,
             minInfoGain=params.gamma,
             seed=params.seed,
