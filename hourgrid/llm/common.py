@@ -38,6 +38,18 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def unused(frame: DataFrame, *names: str) -> list[str]:
+    """Column names that ``frame`` does not have, in any case of letters."""
+    taken = {name.lower() for name in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def present(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 

@@ -80,3 +80,27 @@ def test_near_copies_equal_brute_force(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     kept = {r.doc_id for r in jaccard.keep_one(frame).collect()}
     assert kept == {root(i) for i in range(len(rows))}
+
+
+def test_near_copies_in_small_cells(spark, monkeypatch):
+    # Blocks of three texts: keys with many groups are dealt over many cells.
+    monkeypatch.setattr(jaccard, "CELL", 3)
+    rng = random.Random(8)
+    base = [f"w{rng.randint(0, 900)}" for _ in range(60)]
+    rows = []
+    for i in range(90):
+        words = list(base)
+        for _ in range(rng.randint(1, 4)):
+            words[rng.randrange(60)] = f"x{rng.randint(0, 50)}"
+        rows.append((i, " ".join(words), "a", 1))
+    group = {i: i for i, *_ in rows}
+    for a, text, *_ in rows:
+        for b, other, *_ in rows[:a]:
+            if _alike(text, other) >= 0.8 and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {k: low if g == high else g for k, g in group.items()}
+    names = "doc_id long, text string, _rank string, won_id int"
+    kept = jaccard.keep_one(spark.createDataFrame(rows, names)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(group.values()))
+    assert all(r._rank == "a" and r.won_id == 1 for r in kept)
+    assert 1 < len(kept) < 90
