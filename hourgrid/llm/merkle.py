@@ -5,8 +5,9 @@ section ends at a blank line or after a paragraph whose hash says so, so an edit
 no boundary far from it. The root tells whether texts are equal; below it, differing
 branches locate edits, and the weight of equal leaves is the likeness.
 
-A fingerprint is written ``root/section/section...``, a section ``hash(paragraph,...)``
-and a paragraph its leaves' hashes and lengths, so the stored string is the whole tree.
+Every inner node hashes its children's hashes and nothing else, so equality rests on the
+tree. A fingerprint is written ``root/section/section...``, a section its paragraphs and a
+paragraph its leaves' hashes and lengths, so the stored string is the whole tree.
 """
 
 from __future__ import annotations
@@ -14,25 +15,26 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import byte_texts, present, small_batches, stored
+from hourgrid.llm.common import byte_texts, present, small_batches
 
 #: A paragraph ends its section if its hash is divisible by this.
 SECTION_PARAGRAPHS = 8
-#: Hex digits kept of a leaf; two of n leaves of a text meet by chance with n * n / 2**33.
-LEAF_DIGITS = 8
+#: Documents meet the next one within buckets of neighbouring ids of about this size; the
+#: driver holds an id and a hash per bucket, so there are at most ``MOST_BUCKETS``.
+BUCKET_BYTES, MOST_BUCKETS = 8 << 20, 100_000
 _SENTENCES = re.compile(r"[^.!?]*[.!?]*", re.S)
 
 
-def _hash(data: bytes) -> str:
-    return f"{xxhash.xxh64_intdigest(data):016x}"
+_leaf, _node = xxhash.xxh64_hexdigest, xxhash.xxh128_hexdigest
 
 
 @dataclass(frozen=True)
@@ -69,21 +71,19 @@ def tree(text: str) -> Tree:
         # The line break itself counts as one code point of the last leaf.
         found = [x for x in _SENTENCES.findall(line) if x] or [""]
         leaves = tuple(
-            (_hash(x.encode())[:LEAF_DIGITS], len(x) + (i == len(found) - 1)) for i, x in enumerate(found)
+            (_leaf(x.encode()), len(x) + (i == len(found) - 1)) for i, x in enumerate(found)
         )
-        paragraph = _hash(" ".join(leaf for leaf, _ in leaves).encode())
+        paragraph = _node(" ".join(leaf for leaf, _ in leaves).encode())
         current.append(leaves)
         hashes.append(paragraph)
         if not line.strip() or int(paragraph, 16) % SECTION_PARAGRAPHS == 0:
             sections.append(tuple(current))
-            section_hashes.append(_hash(",".join(hashes).encode()))
+            section_hashes.append(_node(",".join(hashes).encode()))
             current, hashes = [], []
     if current:
         sections.append(tuple(current))
-        section_hashes.append(_hash(",".join(hashes).encode()))
-    # The text's own hash makes the root exact: one of 128 bits over the whole bytes.
-    root = xxhash.xxh128_hexdigest(("/".join(section_hashes)).encode() + b"\0" + text.encode())
-    return Tree(root, tuple(sections))
+        section_hashes.append(_node(",".join(hashes).encode()))
+    return Tree(_node("/".join(section_hashes).encode()), tuple(sections))
 
 
 def likeness(one: Tree, other: Tree) -> float:
@@ -120,12 +120,10 @@ _FIELDS = (
     ("edited_fingerprint", pa.string()),
     ("near_edited", pa.float64()),
     ("near_next", pa.float64()),
-    ("edge", pa.string()),
-    ("own", pa.string()),
 )
 _DDL = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
-    "edited_fingerprint string, near_edited double, near_next double, edge string, own string"
+    "edited_fingerprint string, near_edited double, near_next double"
 )
 
 
@@ -140,8 +138,6 @@ def _row(doc_id, text: str, own: Tree, following: str, after: Tree) -> tuple:
         other.text(),
         likeness(own, other),
         likeness(own, after),
-        None,
-        None,
     )
 
 
@@ -152,32 +148,45 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _neighbours(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order; each meets the next one. The first and last text of a part go on."""
+    """Rows in order; each meets the next one. A bucket ends with the text that follows it."""
     held = None
     for part in parts:
         rows = []
-        for doc_id, raw in zip(
-            part.column("doc_id").to_pylist(), byte_texts(part.column("text")), strict=True
+        for doc_id, follows, raw in zip(
+            part.column("doc_id").to_pylist(),
+            part.column("follows").to_pylist(),
+            byte_texts(part.column("text")),
+            strict=True,
         ):
             text = raw.decode()
             own = tree(text)
-            if held is None:
-                rows.append((doc_id, *[None] * 6, "first", text))
-            else:
+            if held is not None:
                 rows.append(_row(*held, text, own))
-            held = (doc_id, text, own)
+            held = None if follows else (doc_id, text, own)
             if len(rows) >= 128:
                 yield _batch(rows)
                 rows = []
         yield _batch(rows)
-    if held is not None:
-        yield _batch([(held[0], *[None] * 6, "last", held[1])])
 
 
-def _edges(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        rows = zip(*(part.column(n).to_pylist() for n in ("doc_id", "own", "after")), strict=True)
-        yield _batch([_row(i, own, tree(own), after, tree(after)) for i, own, after in rows])
+def _buckets(rows: DataFrame) -> Callable[[Column], Column]:
+    """The bucket of an id, in the order of the documents; ids are dealt by quantiles."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    wanted = min(MOST_BUCKETS, size // BUCKET_BYTES + 1)
+    shares = [i / wanted for i in range(1, wanted)]
+    bounds = []
+    if shares:
+        quantiles = F.percentile_approx("doc_id", shares, max(10_000, 10 * wanted))
+        bounds = rows.agg(quantiles).first()[0] or []
+    ends = np.unique(np.array(bounds, dtype=np.int64))
+
+    @F.arrow_udf("int")
+    def bucket(ids: pa.Array) -> pa.Array:
+        place = len(ends) - np.searchsorted(ends, ids.fill_null(0).to_numpy(zero_copy_only=False))
+        place[ids.is_null().to_numpy(zero_copy_only=False)] = len(ends) + 1
+        return pa.array(place, pa.int32())
+
+    return bucket
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -186,28 +195,44 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     The next document is that with the next smaller doc_id; after the last comes the
     first, which for a single document is itself. Rows that repeat a doc_id follow each
     other by their text's hash; null ids come last. Null texts count as empty, an empty
-    table gives no rows, and other columns are not looked at. One range shuffle deals the
-    texts; a part holds a row at a time, and per part only two texts cross its edges.
+    table gives no rows, and other columns are not looked at. One shuffle deals the texts
+    by buckets of neighbouring ids, and nothing is stored: the first text of each bucket,
+    at most ``MOST_BUCKETS`` of them, is found beforehand and closes the one before. A
+    task holds a row at a time. Rows that share one id share a bucket.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select("doc_id", present(F.col(text)).cast("binary").alias("text")).withColumn(
-        "_h", F.xxhash64("text")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), present(F.col(text)).cast("binary").alias("text")
+    ).withColumn("h", F.xxhash64("text"))
+    bucket = _buckets(rows)
+    order = F.struct(F.col("doc_id").isNull(), F.bitwise_not("doc_id").alias("down"), "h")
+    firsts = (
+        rows.select("doc_id", "h").withColumn("bucket", bucket("doc_id"))
+        .groupBy("bucket")
+        .agg(F.min_by(F.struct("doc_id", "h"), order).alias("first"))
+        .orderBy("bucket")
+        .collect()
     )
-    order = [F.col("doc_id").desc_nulls_last(), F.col("_h"), F.col("text")]
-    dealt = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
-    found = stored(
-        dealt.mapInArrow(_neighbours, _DDL).withColumn("part", F.spark_partition_id()), "trees"
+    # The first row of a bucket follows the bucket before it; the very first follows the last.
+    closing = [
+        (firsts[i - 1]["bucket"], row["first"]["doc_id"], row["first"]["h"])
+        for i, row in enumerate(firsts)
+    ]
+    ends = spark.createDataFrame(closing, "bucket int, end_id long, end_h long")
+    same = F.col("doc_id").eqNullSafe(F.col("end_id")) & (F.col("h") == F.col("end_h"))
+    closes = (
+        rows.join(F.broadcast(ends), same)
+        .groupBy("bucket")
+        .agg(F.min("text").alias("text"))
+        .select("bucket", F.lit(True).alias("follows"), F.lit(None).cast("long").alias("doc_id"), "text")
+        .withColumn("h", F.lit(None).cast("long"))
     )
-    # The parts that have rows, in order: one number per part.
-    numbers = [r["part"] for r in found.where("edge = 'first'").select("part").collect()]
-    numbers.sort()
-    after = dict(zip(numbers, numbers[1:] + numbers[:1], strict=True))
-    follows = spark.createDataFrame(list(after.items()), "part int, next int")
-    last = found.where("edge = 'last'").select("part", "doc_id", "own").join(follows, "part")
-    first = found.where("edge = 'first'").select(
-        F.col("part").alias("next"), F.col("own").alias("after")
+    dealt = rows.select(bucket("doc_id").alias("bucket"), F.lit(False).alias("follows"), "doc_id", "text", "h")
+    return (
+        dealt.unionByName(closes)
+        .repartition("bucket")
+        .sortWithinPartitions("bucket", "follows", F.col("doc_id").desc_nulls_last(), "h", "text")
+        .select("doc_id", "follows", "text")
+        .mapInArrow(_neighbours, _DDL)
     )
-    tied = last.join(first, "next").select("doc_id", "own", "after").mapInArrow(_edges, _DDL)
-    whole = found.where("edge is null").drop("part").unionByName(tied)
-    return whole.drop("edge", "own")

@@ -204,6 +204,36 @@ def test_merkle(docs, empty):
     assert found[40].fingerprint == found[0].fingerprint
 
 
+def test_merkle_in_small_buckets(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "BUCKET_BYTES", 200)
+    texts = [(i, f"Text {i} says " + "so. " * (i % 7)) for i in range(0, 120, 3)]
+    texts += [(9, "again"), (9, "again"), (None, "no id"), (None, None)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    rows = merkle.fingerprints(frame).collect()
+    ids = sorted({i for i, _ in texts if i is not None}, reverse=True)
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in texts)
+    found = {r.doc_id: r for r in rows if r.doc_id not in (9, None)}
+    text = {i: t for i, t in texts}
+    for i, after in zip(ids, ids[1:], strict=False):
+        if 9 in (i, after):
+            continue
+        changed = merkle.edited(text[i], text[after])
+        assert found[i].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+    # The last document is one without an id; the first of all follows it.
+    wraps = {merkle.edited(t or "", text[ids[0]]) for i, t in texts if i is None}
+    lasts = {r.edited_sha256 for r in rows if r.doc_id is None}
+    assert lasts & {hashlib.sha256(w.encode()).hexdigest() for w in wraps}
+    alone = merkle.fingerprints(spark.createDataFrame([(7, "abcd")], "doc_id long, text string")).collect()
+    assert [r.edited_sha256 for r in alone] == [hashlib.sha256(b"abab").hexdigest()]
+    assert alone[0].near_next == 1.0
+
+
+def test_merkle_roots_hash_their_children():
+    seen = {}
+    for t in ["", "\n", "a", "a\n", "a\n\n", "a.b", "a. b", "a b", "a\nb", "a.\nb", "b\na", "\n\n", "\n\n\n"]:
+        assert seen.setdefault(merkle.tree(t).root, t) == t
+
+
 def test_merkle_locates_edits():
     lines = [f"Line {i} stands. It ends." for i in range(60)]
     before = merkle.tree("\n".join(lines))
