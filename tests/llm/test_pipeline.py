@@ -85,6 +85,7 @@ def test_near_copies_equal_brute_force(spark):
 def test_near_copies_in_small_cells(spark, monkeypatch):
     # Blocks of three texts: keys with many groups are dealt over many cells.
     monkeypatch.setattr(jaccard, "CELL", 3)
+    monkeypatch.setattr(jaccard, "CELL_SHINGLES", 100)
     rng = random.Random(8)
     base = [f"w{rng.randint(0, 900)}" for _ in range(60)]
     rows = []
