@@ -263,11 +263,14 @@ def mix(
     chosen = (
         mixed(docs, labels, targets, text, snap)
         .where("copies > 0")
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), "copies")
-        .dropDuplicates(["_id", "_h"])
+        .dropDuplicates(["doc_id", "text_hash"])
+        .select(F.struct("doc_id", "text_hash", "copies").alias("_mix"))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (
-        F.xxhash64(present(F.col(text))) == F.col("_h")
+    # The documents travel as one struct, so none of their columns meets one of ours.
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"))
+    held, entry = F.col("_doc"), F.col("_mix")
+    same = held["doc_id"].eqNullSafe(entry["doc_id"]) & (
+        F.xxhash64(present(held[text])) == entry["text_hash"]
     )
-    times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")
-    return docs.join(chosen, same).select(*docs.columns, times).drop("_copy")
+    times = F.explode(F.sequence(F.lit(1), entry["copies"].cast("int"))).alias("_copy")
+    return rows.join(chosen, same).select("_doc", times).select("_doc.*")
