@@ -1,13 +1,16 @@
 """Language-model scores from a Brown class-based bigram model.
 
 P(text) is the product over tokens of P(class | class before) * P(word | class). Words
-are put into classes by exchange: with the classes of all contexts held, each word moves
-to the class that gains most, in rounds over the whole training corpus. Words with at
-least ``CLASS_SHARE`` of the training tokens take part, so there are at most
-1 / CLASS_SHARE of them; the rest form classes by their last character.
-
-Counts of words with at least ``KNOWN_SHARE`` of the tokens, at most 1 / KNOWN_SHARE
-words, go to the tasks. Counts of rarer words are joined, on 64-bit hashes.
+are put into classes by exchange over the whole training corpus: each word moves to the
+class that gains most, and a round of moves stays only if the likelihood rises; else
+fewer words move, until it rises no more. Frequent words, with at least ``CLASS_SHARE``
+of the tokens, are exchanged in rounds, so there are at most 1 / CLASS_SHARE of them.
+Then every other word seen ``LEAST`` times or more takes its best class against these,
+on Spark, grouped by word. Words seen less form classes by their last character.
+
+Texts are read twice: once to count words, once to store them as numbers. Words with at
+least ``KNOWN_SHARE`` of the tokens, at most 1 / KNOWN_SHARE, are numbered; the others
+are joined on 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -19,21 +22,26 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import byte_texts, fold, lowered, small_batches, stored
+from hourgrid.llm.common import byte_texts, fold, present, small_batches, stored
 
 CLASSES = 24
-#: Classes of the rarer words: ends a sentence, ends a clause, neither. Then the text's end.
+#: Classes of the rarest words: ends a sentence, ends a clause, neither. Then the text's end.
 REST, END = CLASSES, CLASSES + 3
 ALL = CLASSES + 4
 CLASS_SHARE, KNOWN_SHARE = 1e-5, 1e-6
-ROUNDS = 2
+#: Times that a word must be seen to have a class of its choice, at any size of the corpus.
+LEAST = 3
+#: Rounds end when the likelihood rises by less than this share, or after so many.
+RISE, ROUNDS = 1e-4, 12
+#: The least share of words that a round tries to move.
+FEWEST = 0.2
 ADDED = 0.1
 #: Weight of the class's own frequency in a transition.
 PRIOR = 50.0
-#: Distinct words that a task counts before it hands them on.
+#: Distinct words, or contexts of words, that a task holds before it hands them on.
 HELD = 400_000
 
 
@@ -61,7 +69,8 @@ def _word_counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for part in parts:
         for raw in byte_texts(part.column("text")):
-            counts.update(raw.split())
+            # Lower-cases A to Z alone, as bytes.
+            counts.update(raw.lower().split())
             ends += 1
             if len(counts) >= HELD:
                 yield rows(counts)
@@ -72,166 +81,310 @@ def _word_counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows(counts)
 
 
-def _contexts(shared) -> Callable:
-    """Per clustered word, how often each class stands before and after it."""
+def _numbered(shared) -> Callable:
+    """Texts as int32 numbers, closed by the end's; a rare word is -1 - 3 * k - its rest
+    class, where k is its place among the text's rare hashes."""
+
+    def number(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = shared.value
+        end = len(places)
+        for part in parts:
+            ids, rare = [], []
+            for raw in byte_texts(part.column("text")):
+                words = raw.lower().split()
+                found = list(map(places.get, words))
+                own: dict[bytes, int] = {}
+                if None in found:
+                    for i, place in enumerate(found):
+                        if place is None:
+                            word = words[i]
+                            k = own.setdefault(word, len(own))
+                            found[i] = -1 - 3 * k - (rest_class(word) - REST)
+                found.append(end)
+                ids.append(np.array(found, dtype=np.int32).tobytes())
+                rare.append([_hash(w) for w in own])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    part.column("held_out"),
+                    pa.array(ids, pa.binary()),
+                    pa.array(rare, pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "held_out", "ids", "rare"],
+            )
+
+    return number
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a batch, one text after another, and the texts' lengths."""
+    values = column.cast(pa.binary()).to_pylist()
+    lengths = np.array([len(v) // 4 for v in values], dtype=np.int64)
+    return np.frombuffer(b"".join(values), dtype=np.int32), lengths
 
-    def gather(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, classes = shared.value
-        spots = len(classes)
+
+def _kinds(flat: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The class of each number; of rare words, the rest class."""
+    return np.where(flat < 0, REST + (-1 - flat) % 3, classes[np.maximum(flat, 0)])
+
+
+def _before(kind: np.ndarray) -> np.ndarray:
+    # Every text closes with the end, so the first of the next text stands after one.
+    return np.r_[END, kind[:-1]]
+
+
+def _contexts(shared, spots: int) -> Callable:
+    """Per frequent word, how often each class stands before and after it."""
+
+    def collect(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = shared.value
         # One row per word, and one per other class, for the class-to-class counts.
         table = np.zeros((spots + ALL - CLASSES, 2 * ALL), dtype=np.int64)
+        cells = table.reshape(-1)
         for part in parts:
-            for raw in byte_texts(part.column("text")):
-                words = raw.split()
-                at = [places.get(w, -1) for w in words]
-                at.append(spots + END - CLASSES)
-                at = np.array(at, dtype=np.int64)
-                for i in np.flatnonzero(at < 0):
-                    at[i] = spots + rest_class(words[i]) - CLASSES
-                kind = np.where(at < spots, classes[np.minimum(at, max(spots - 1, 0))] if spots else 0, at - spots + CLASSES)
-                before = np.r_[END, kind[:-1]]
-                np.add.at(table, (at, before), 1)
-                np.add.at(table, (at[:-1], ALL + kind[1:]), 1)
+            flat, _ = _flat(part.column("ids"))
+            if not len(flat):
+                continue
+            kind = _kinds(flat, classes)
+            frequent = (flat >= 0) & (flat < spots)
+            at = np.where(frequent, flat, spots + kind - CLASSES).astype(np.int64) * (2 * ALL)
+            np.add.at(cells, at + _before(kind), 1)
+            np.add.at(cells, at[:-1] + ALL + kind[1:], 1)
         used = np.flatnonzero(table.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(used), *(pa.array(column) for column in table[used].T)],
             names=["id", *(f"c{k}" for k in range(2 * ALL))],
         )
 
-    return gather
+    return collect
 
 
-def _context_table(texts: DataFrame, places: dict, classes: np.ndarray) -> np.ndarray:
+def _context_table(numbered: DataFrame, classes: np.ndarray, spots: int) -> np.ndarray:
     """Summed contexts; at most 1 / CLASS_SHARE rows of small numbers reach the driver."""
-    shared = texts.sparkSession.sparkContext.broadcast((places, classes))
+    shared = numbered.sparkSession.sparkContext.broadcast(classes)
     names = [f"c{k}" for k in range(2 * ALL)]
     ddl = "id bigint, " + ", ".join(f"{n} bigint" for n in names)
-    sums = texts.mapInArrow(_contexts(shared), ddl).groupBy("id").agg(
-        *(F.sum(n).alias(n) for n in names)
+    sums = (
+        numbered.select("ids")
+        .mapInArrow(_contexts(shared, spots), ddl)
+        .groupBy("id")
+        .agg(*(F.sum(n).alias(n) for n in names))
     )
-    out = np.zeros((len(classes) + ALL - CLASSES, 2 * ALL))
+    out = np.zeros((spots + ALL - CLASSES, 2 * ALL))
     found = sums.toArrow()
     if found.num_rows:
-        out[found.column("id").to_numpy()] = np.column_stack([found.column(n).to_numpy() for n in names])
+        out[found.column("id").to_numpy()] = np.column_stack(
+            [found.column(n).to_numpy() for n in names]
+        )
     shared.unpersist()
     return out
 
 
 def _class_counts(table: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Transitions [before, class]."""
-    kind = np.r_[classes, np.arange(CLASSES, ALL)]
     out = np.zeros((ALL, ALL))
-    np.add.at(out, kind, table[:, :ALL])
+    np.add.at(out, np.r_[classes, np.arange(CLASSES, ALL)], table[:, :ALL])
     return out.T
 
 
-def exchange(table: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """The class of each word that most raises the likelihood, contexts held."""
-    moves = _class_counts(table, classes) + 0.5
+def likelihood(moves: np.ndarray) -> float:
+    """What classes add to the log-likelihood: their tokens' mutual information."""
+
+    def part(n: np.ndarray) -> float:
+        return float((n * np.log(np.maximum(n, 1))).sum())
+
+    return part(moves) - part(moves.sum(axis=0)) - part(moves.sum(axis=1))
+
+
+def _gains(moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a token gains in a class: [before, class] and [class, after]."""
+    moves = moves + 0.5
     before, after = moves.sum(axis=1), moves.sum(axis=0)
-    # log P(class | before), and log P(next | class), for classes that words may take.
     into = np.log(moves / before[:, None] / after[None, :])[:, :CLASSES]
-    out_of = np.log(moves / before[:, None])[:CLASSES, :]
+    return into, np.log(moves / before[:, None])[:CLASSES, :]
+
+
+def exchange(table: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The class of each word that most raises the likelihood, contexts held."""
+    into, out_of = _gains(_class_counts(table, classes))
     spots = len(classes)
     gain = table[:spots, :ALL] @ into + table[:spots, ALL:] @ out_of.T
     return gain.argmax(axis=1).astype(np.int16)
 
 
-def held_out(doc_id: Column) -> Column:
-    return fold(doc_id, 10) == 0
+def cluster(count: Callable[[np.ndarray], np.ndarray], classes: np.ndarray):
+    """(classes, transitions) after exchange; ``count`` gives the contexts under classes."""
+    table = count(classes)
+    best = likelihood(_class_counts(table, classes))
+    share = 1.0
+    chance = np.random.default_rng(1)
+    for _ in range(ROUNDS if len(classes) else 0):
+        wanted = exchange(table, classes)
+        moving = (wanted != classes) & (chance.random(len(classes)) < share)
+        trial = np.where(moving, wanted, classes)
+        if not moving.any():
+            break
+        counted = count(trial)
+        now = likelihood(_class_counts(counted, trial))
+        if now > best:
+            small = now - best < RISE * abs(best)
+            classes, table, best = trial, counted, now
+            if small:
+                break
+        else:
+            share /= 2
+            if share < FEWEST:
+                break
+    return classes, _class_counts(table, classes)
+
+
+def _rare_contexts(shared, spots: int) -> Callable:
+    """(hash, classes around and rest class in one number, times) of words not frequent."""
+
+    def rows(keys: list, codes: list) -> pa.RecordBatch:
+        h = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+        code = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+        order = np.lexsort((code, h))
+        h, code = h[order], code[order]
+        first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (code[1:] != code[:-1])][: len(h)])
+        return pa.record_batch(
+            {
+                "h": pa.array(h[first]),
+                "code": pa.array(code[first].astype(np.int32)),
+                "n": pa.array(np.diff(np.r_[first, len(h)])),
+            }
+        )
 
+    def collect(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, hashes = shared.value
+        keys: list[np.ndarray] = []
+        codes: list[np.ndarray] = []
+        held = 0
+        for part in parts:
+            flat, lengths = _flat(part.column("ids"))
+            if not len(flat):
+                continue
+            kind = _kinds(flat, classes)
+            around = _before(kind) * ALL + np.r_[kind[1:], END]
+            at = np.flatnonzero((flat < 0) | ((flat >= spots) & (flat < len(hashes))))
+            h = np.where(flat[at] < 0, _own(part, flat, lengths, at), hashes[np.maximum(flat[at], 0)] if len(hashes) else 0)
+            keys.append(h.astype(np.int64))
+            # Outside the frequent words every class is still a rest class.
+            codes.append(around[at].astype(np.int64) * 3 + kind[at] - REST)
+            held += len(at)
+            if held >= 4 * HELD:
+                yield rows(keys, codes)
+                keys, codes, held = [], [], 0
+        yield rows(keys, codes)
+
+    return collect
+
+
+def _own(part: pa.RecordBatch, flat: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The hashes of the rare words at these places; 0 at others."""
+    lists = part.column("rare").to_pylist()
+    sizes = np.array([len(x) for x in lists], dtype=np.int64)
+    hashes = np.array([h for x in lists for h in x] or [0], dtype=np.int64)
+    text = np.repeat(np.arange(len(lengths)), lengths)[at]
+    k = (-1 - flat[at]) // 3
+    place = (np.cumsum(sizes) - sizes)[text] + k
+    return np.where(flat[at] < 0, hashes[np.where(flat[at] < 0, place, 0)], 0)
+
+
+def _learned(numbered: DataFrame, classes: np.ndarray, hashes: np.ndarray, moves: np.ndarray, spots: int) -> DataFrame:
+    """h, c and kind of every training word that is not frequent."""
+    spark: SparkSession = numbered.sparkSession
+    into, out_of = _gains(moves)
+    around = [
+        ((b * ALL + a) * 3 + rest, rest, [float(x) for x in into[b] + out_of[:, a]])
+        for b in range(ALL)
+        for a in range(ALL)
+        for rest in range(3)
+    ]
+    gains = spark.createDataFrame(around, "code int, rest int, g array<double>")
+    shared = spark.sparkContext.broadcast((classes, hashes))
+    rows = numbered.select("ids", "rare").mapInArrow(
+        _rare_contexts(shared, spots), "h bigint, code int, n bigint"
+    )
+    sums = [F.sum(F.col("n") * F.col("g")[k]) for k in range(CLASSES)]
+    best = F.array(*sums)
+    return stored(
+        rows.repartition("h")
+        .join(F.broadcast(gains), "code")
+        .groupBy("h")
+        .agg(F.sum("n").alias("c"), F.max("rest").alias("rest"), best.alias("gain"))
+        .select(
+            "h",
+            "c",
+            F.when(F.col("c") < LEAST, REST + F.col("rest"))
+            .otherwise(F.array_position("gain", F.array_max("gain")) - 1)
+            .cast("int")
+            .alias("kind"),
+        ),
+        "learned",
+    )
 
-class Model:
-    """What the tasks need: bounded dictionaries, and arrays of a few classes."""
 
-    def __init__(self, counts: dict, places: dict, classes: np.ndarray, moves, tokens: int, vocabulary: int, sizes: dict, kinds: dict):
-        self.counts, self.tokens, self.vocabulary = counts, tokens, vocabulary
-        share = (moves.sum(axis=0) + 1) / (moves.sum() + ALL)
-        self.step = np.log10((moves + PRIOR * share) / (moves.sum(axis=1, keepdims=True) + PRIOR))
-        self.below = math.log10(tokens + ADDED * (vocabulary + 1))
-        self.class_below = np.array(
-            [math.log10(sizes.get(k, 0) + ADDED * (kinds.get(k, 0) + 1)) for k in range(ALL)]
-        )
-        #: word -> (class, log10(c + 0.1))
-        self.words = {}
-        for word, c in counts.items():
-            place = places.get(word)
-            kind = END if word == b"" else int(classes[place]) if place is not None else rest_class(word)
-            self.words[word] = (kind, math.log10(c + ADDED))
+def held_out(doc_id: Column) -> Column:
+    return fold(doc_id, 10) == 0
 
 
-def fit(texts: DataFrame):
-    """(model, stored counts of all words as hash, c) from rows with a lower-cased ``text``."""
-    spark = texts.sparkSession
-    counts = stored(
-        texts.mapInArrow(_word_counts, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c")),
-        "counts",
-    )
-    totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    tokens, vocabulary = int(totals["n"] or 0), totals["v"]
-    rows = counts.where(F.col("c") >= KNOWN_SHARE * tokens).toArrow()
-    known = dict(zip(rows.column("word").to_pylist(), rows.column("c").to_pylist(), strict=True))
-    chosen = sorted(
-        (w for w, c in known.items() if w and c >= CLASS_SHARE * tokens), key=lambda w: (-known[w], w)
-    )
-    places = {w: i for i, w in enumerate(chosen)}
-    # Start: by rank, with words that end a sentence or clause apart.
-    classes = np.array([(i + 8 * (rest_class(w) - REST)) % CLASSES for i, w in enumerate(chosen)], dtype=np.int16)
-    for _ in range(ROUNDS):
-        classes = exchange(_context_table(texts, places, classes), classes) if len(classes) else classes
-    moves = _class_counts(_context_table(texts, places, classes), classes)
-    # Sizes of classes: tokens and words; rare words are counted where they are stored.
-    last = F.substring(F.col("word"), -1, 1)
-    kind = F.when(F.length("word") == 0, END).when(last.isin(*(bytearray(c, "ascii") for c in ".!?")), REST)
-    kind = kind.when(last.isin(*(bytearray(c, "ascii") for c in ",;:")), REST + 1).otherwise(REST + 2)
-    all_rest = counts.groupBy(kind.alias("kind")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
-    sizes, kinds = Counter(), Counter()
-    for row in all_rest:
-        sizes[row["kind"]] += row["n"]
-        kinds[row["kind"]] += row["v"]
-    for word, place in places.items():
-        for table, n in ((sizes, known[word]), (kinds, 1)):
-            table[rest_class(word)] -= n
-            table[int(classes[place])] += n
-    return Model(known, places, classes, moves, tokens, vocabulary, sizes, kinds), counts
+def _placed(part: pa.RecordBatch, classes: np.ndarray):
+    """(numbers, texts' lengths, classes, places of rare words, their counts)."""
+    flat, lengths = _flat(part.column("ids"))
+    kind = _kinds(flat, classes) if len(flat) else flat
+    at = np.flatnonzero(flat < 0)
+    found = part.column("found").to_pylist()
+    sizes = np.array([len(x) for x in found], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    kinds, counts = np.zeros(int(sizes.sum()) + 1, np.int64), np.zeros(int(sizes.sum()) + 1)
+    for start, entries in zip(starts.tolist(), found, strict=True):
+        for e in entries:
+            kinds[start + e["k"]], counts[start + e["k"]] = e["kind"], e["c"]
+    text = np.repeat(np.arange(len(lengths)), lengths)[at]
+    place = starts[text] + (-1 - flat[at]) // 3
+    # A word of no training document keeps its rest class.
+    kind[at] = np.where(kinds[place] < 0, kind[at], kinds[place])
+    return flat, lengths, kind, at, counts[place]
+
+
+def _transitions(shared) -> Callable:
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        moves = np.zeros(ALL * ALL, dtype=np.int64)
+        for part in parts:
+            _, _, kind, _, _ = _placed(part, shared.value)
+            if len(kind):
+                moves += np.bincount(_before(kind) * ALL + kind, minlength=ALL * ALL)
+        used = np.flatnonzero(moves)
+        yield pa.record_batch({"move": pa.array(used), "n": pa.array(moves[used])})
+
+    return count
 
 
 def _scores(shared) -> Callable:
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, step, below, class_below = shared.value
-        end = words.get(b"", (END, math.log10(ADDED)))
+        classes, own, step, below, class_below, ended = shared.value
         for part in parts:
-            out = []
-            for raw in byte_texts(part.column("text")):
-                tokens = raw.split()
-                found = [words.get(w) for w in tokens]
-                rare: Counter = Counter()
-                for i, entry in enumerate(found):
-                    if entry is None:
-                        word = tokens[i]
-                        rare[word] += 1
-                        found[i] = (rest_class(word), 0.0)
-                found.append(end)
-                kind = np.array([k for k, _ in found])
-                own = math.fsum(x for _, x in found)
-                moves = step[np.r_[END, kind[:-1]], kind].sum()
-                score = own + moves - class_below[kind].sum()
-                n = len(found)
-                missing = 0 if b"" in words else 1
-                out.append(
-                    (
-                        n,
-                        n - rare.total() - missing,
-                        own - n * below,
-                        float(score),
-                        [{"h": _hash(w), "n": c} for w, c in rare.items()],
-                    )
-                )
-            columns = list(zip(*out, strict=True)) if out else [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())])))
+            flat, lengths, kind, at, counts = _placed(part, classes)
+            if not len(flat):
+                continue
+            log = own[np.maximum(flat, 0)]
+            log[at] = np.log10(counts + ADDED)
+            met = (flat >= 0) & ((flat < len(own) - 1) | ended)
+            met[at] = counts > 0
+            starts = np.cumsum(lengths) - lengths
+            base = np.add.reduceat(log, starts)
+            moved = np.add.reduceat(step[_before(kind), kind] - class_below[kind], starts)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
-                names=["doc_id", "n_tokens", "n_known", "base_score", "score", "rare"],
+                [
+                    part.column("doc_id"),
+                    part.column("held_out"),
+                    pa.array(lengths),
+                    pa.array(np.add.reduceat(met.astype(np.int64), starts)),
+                    pa.array(base - lengths * below),
+                    pa.array(base + moved),
+                ],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
             )
 
     return score
@@ -247,50 +400,97 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    texts = docs.select("doc_id", lowered(F.col(text)).cast("binary").alias("text"))
-    model, counts = fit(texts.where(~held_out(F.col("doc_id"))).select("text"))
-    shared = spark.sparkContext.broadcast(
-        (model.words, model.step, model.below, model.class_below)
+    texts = docs.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        present(F.col(text)).cast("binary").alias("text"),
+    )
+    counts = stored(
+        texts.where("not held_out")
+        .select("text")
+        .mapInArrow(_word_counts, "word binary, c bigint")
+        .groupBy("word")
+        .agg(F.sum("c").alias("c")),
+        "counts",
     )
-    scored = stored(
+    totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
+    tokens, vocabulary = int(totals["n"] or 0), totals["v"]
+    rows = counts.where(F.col("c") >= KNOWN_SHARE * tokens).toArrow()
+    known = dict(zip(rows.column("word").to_pylist(), rows.column("c").to_pylist(), strict=True))
+    ends = known.pop(b"", None)
+    if ends is None:
+        ends = counts.where(F.length("word") == 0).agg(F.max("c")).first()[0] or 0
+    chosen = sorted(known, key=lambda w: (-known[w], w))
+    spots = sum(known[w] >= max(LEAST, CLASS_SHARE * tokens) for w in chosen)
+    hashes = np.array([_hash(w) for w in chosen], dtype=np.int64)
+    own = np.log10(np.array([known[w] for w in chosen] + [ends], dtype=float) + ADDED)
+    rest = np.array([rest_class(w) for w in chosen] + [END], dtype=np.int16)
+
+    places = spark.sparkContext.broadcast({w: i for i, w in enumerate(chosen)})
+    numbered = stored(
         texts.mapInArrow(
-            _scores(shared),
-            "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double, "
-            "rare array<struct<h:bigint,n:bigint>>",
+            _numbered(places), "doc_id bigint, held_out boolean, ids binary, rare array<bigint>"
         ).withColumn("row", F.monotonically_increasing_id()),
-        "scores",
+        "numbered",
     )
-    # Sum log10(c + 0.1) of rare words; a word of no training document has c = 0.
-    few = counts.where(F.col("c") < KNOWN_SHARE * model.tokens).mapInArrow(
-        _hashed, "h bigint, c bigint"
+    places.unpersist()
+    training = numbered.where("not held_out")
+
+    # Start: by rank, with words that end a sentence or clause apart.
+    start = ((np.arange(spots) + 8 * (rest[:spots].astype(int) - REST)) % CLASSES).astype(np.int16)
+    clustered, moves = cluster(
+        lambda classes: _context_table(training, np.r_[classes, rest[spots:]], spots), start
     )
-    rare = scored.select("row", F.inline("rare")).join(few, "h", "left")
-    c = F.coalesce("c", F.lit(0))
-    sums = rare.groupBy("row").agg(
-        F.sum(F.col("n") * F.log10(c + ADDED)).alias("more"),
-        F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("met"),
+    classes = np.r_[clustered, rest[spots:]].astype(np.int64)
+    learned = _learned(training, classes, hashes, moves, spots)
+    # Numbered words that are not frequent: no more of them than 1 / KNOWN_SHARE.
+    later = learned.where(F.col("c") >= KNOWN_SHARE * tokens).toArrow()
+    kind_of = dict(zip(later.column("h").to_pylist(), later.column("kind").to_pylist(), strict=True))
+    for i in range(spots, len(chosen)):
+        classes[i] = kind_of.get(int(hashes[i]), classes[i])
+
+    word = F.struct("k", F.coalesce("kind", F.lit(-1)).alias("kind"), F.coalesce("c", F.lit(0)).alias("c"))
+    rare = (
+        numbered.select("row", F.posexplode("rare").alias("k", "h"))
+        .join(learned, "h", "left")
+        .groupBy("row")
+        .agg(F.collect_list(word).alias("found"))
     )
-    more = F.coalesce("more", F.lit(0.0))
-    total = F.col("score") + more
-    return (
-        scored.drop("rare")
-        .join(sums, "row", "left")
-        .select(
-            "doc_id",
-            held_out(F.col("doc_id")).alias("held_out"),
-            "n_tokens",
-            (F.col("n_known") + F.coalesce("met", F.lit(0))).alias("n_known"),
-            F.lit(model.tokens).cast("long").alias("train_tokens"),
-            (F.col("base_score") + more).alias("base_score"),
-            total.alias("score"),
-            F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"),
-        )
+    placed = stored(
+        numbered.drop("rare")
+        .join(rare, "row", "left")
+        .withColumn("found", F.coalesce("found", F.array().cast("array<struct<k:int,kind:int,c:bigint>>"))),
+        "placed",
+    )
+    shared = spark.sparkContext.broadcast(classes)
+    moves = np.zeros(ALL * ALL)
+    moved = placed.where("not held_out").select("ids", "found").mapInArrow(
+        _transitions(shared), "move bigint, n bigint"
+    )
+    for row in moved.groupBy("move").agg(F.sum("n").alias("n")).collect():
+        moves[row["move"]] = row["n"]
+    moves = moves.reshape(ALL, ALL)
+    # Tokens and distinct words of each class.
+    sizes = moves.sum(axis=0)
+    kinds = np.bincount(classes, minlength=ALL).astype(float)
+    for row in learned.where(F.col("c") < KNOWN_SHARE * tokens).groupBy("kind").count().collect():
+        kinds[row["kind"]] += row["count"]
+    share = (sizes + 1) / (moves.sum() + ALL)
+    step = np.log10((moves + PRIOR * share) / (moves.sum(axis=1, keepdims=True) + PRIOR))
+    below = math.log10(tokens + ADDED * (vocabulary + 1))
+    class_below = np.log10(sizes + ADDED * (kinds + 1))
+    model = spark.sparkContext.broadcast((classes, own, step, below, class_below, ends > 0))
+    scored = placed.select("doc_id", "held_out", "ids", "found").mapInArrow(
+        _scores(model),
+        "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double",
+    )
+    return scored.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )
-
-
-def _hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        hashes = [_hash(w) for w in part.column("word").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes, pa.int64()), part.column("c")], names=["h", "c"]
-        )

@@ -416,6 +416,83 @@ def test_brown_learns_order(spark):
     assert found and all(r.score > r.base_score + 5 for r in found)
 
 
+def _plain_brown(rows, least):
+    """Scores where no word is frequent: rest classes, then each word's best class, in plain Python."""
+    training = [w for i, w in rows if crc32(("" if i is None else str(i)).encode()) % 10]
+    count = Counter(w for words in training for w in words)
+    total, ends = sum(count.values()) + len(training), len(training)
+
+    def moves_of(kinds):
+        moves = np.zeros((brown.ALL, brown.ALL))
+        for words in training:
+            line = [brown.END, *(kinds[w] for w in words), brown.END]
+            for a, b in zip(line, line[1:]):
+                moves[a, b] += 1
+        return moves
+
+    rest = {w: brown.rest_class(w.encode()) for w in count}
+    smooth = moves_of(rest) + 0.5
+    gain = {w: np.zeros(brown.CLASSES) for w in count}
+    for words in training:
+        line = [brown.END, *(rest[w] for w in words), brown.END]
+        for at, w in enumerate(words, 1):
+            for k in range(brown.CLASSES):
+                gain[w][k] += math.log(smooth[line[at - 1], k] / smooth[line[at - 1]].sum() / smooth[:, k].sum())
+                gain[w][k] += math.log(smooth[k, line[at + 1]] / smooth[k].sum())
+    kinds = {w: rest[w] if count[w] < least else int(gain[w].argmax()) for w in count}
+    moves = moves_of(kinds)
+    sizes, words_in = moves.sum(axis=0), Counter(kinds.values())
+    words_in[brown.END] += 1
+    share = (sizes + 1) / (moves.sum() + brown.ALL)
+    found = Counter()
+    for i, words in rows:
+        value, last = 0.0, brown.END
+        for w in [*words, None]:
+            k = brown.END if w is None else kinds.get(w, brown.rest_class(w.encode()))
+            c = ends if w is None else count[w]
+            value += math.log10((moves[last, k] + brown.PRIOR * share[k]) / (moves[last].sum() + brown.PRIOR))
+            value += math.log10((c + 0.1) / (sizes[k] + 0.1 * (words_in[k] + 1)))
+            last = k
+        found[i, round(value, 5)] += 1
+    return found, total
+
+
+@pytest.mark.parametrize("known_share", [0.0, 2.0, 0.01])
+def test_brown_rare_words_equal_plain_python(docs, monkeypatch, known_share):
+    """Numbered or joined, words that are not frequent have the class that plain Python finds."""
+    monkeypatch.setattr(brown, "CLASS_SHARE", 2.0)
+    monkeypatch.setattr(brown, "KNOWN_SHARE", known_share)
+    wanted, total = _plain_brown([(i, _words(_lower(t))) for i, t in _texts()], brown.LEAST)
+    found = brown.score(docs).collect()
+    assert Counter((r.doc_id, round(r.score, 5)) for r in found) == wanted
+    assert {r.train_tokens for r in found} == {total}
+
+
+def test_brown_rounds_never_lose_likelihood():
+    """Exchange on contexts counted in plain Python ends in classes better than the start."""
+    rng = np.random.default_rng(3)
+    groups = rng.integers(0, 4, 60)
+    line, last = [], 0
+    for _ in range(8000):
+        last = int(rng.choice(np.flatnonzero(groups == (groups[last] + 1) % 4)))
+        line.append(last)
+    seen = []
+
+    def count(classes):
+        table = np.zeros((60 + brown.ALL - brown.CLASSES, 2 * brown.ALL))
+        for a, b in zip(line, line[1:]):
+            table[b, classes[a]] += 1
+            table[a, brown.ALL + classes[b]] += 1
+        seen.append(brown.likelihood(brown._class_counts(table, classes)))
+        return table
+
+    start = (np.arange(60) % brown.CLASSES).astype(np.int16)
+    classes, moves = brown.cluster(count, start)
+    assert brown.likelihood(moves) == max(seen) > seen[0]
+    together = [len(set(groups[classes == k])) for k in set(classes.tolist())]
+    assert sum(n == 1 for n in together) >= 0.7 * len(together)
+
+
 def test_urls(spark):
     cases = [
         ("https://a.COM/x", "a.com", "/x", "com/", "allow"),
