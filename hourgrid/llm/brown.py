@@ -38,6 +38,8 @@ LEAST = 3
 RISE, ROUNDS = 1e-4, 12
 #: The least share of words that a round tries to move.
 FEWEST = 0.2
+#: Codes of two classes around a word and its own rest class.
+CODES = ALL * ALL * 3
 ADDED = 0.1
 #: Weight of the class's own frequency in a transition.
 PRIOR = 50.0
@@ -160,12 +162,17 @@ def _contexts(shared, spots: int) -> Callable:
 
 
 def _context_table(numbered: DataFrame, classes: np.ndarray, spots: int) -> np.ndarray:
-    """Summed contexts; at most 1 / CLASS_SHARE rows of small numbers reach the driver."""
+    """Summed contexts; at most 1 / CLASS_SHARE rows of small numbers reach the driver.
+
+    Each core fills one table, so what is shuffled does not grow with the input's splits.
+    """
+    cores = numbered.sparkSession.sparkContext.defaultParallelism
     shared = numbered.sparkSession.sparkContext.broadcast(classes)
     names = [f"c{k}" for k in range(2 * ALL)]
     ddl = "id bigint, " + ", ".join(f"{n} bigint" for n in names)
     sums = (
         numbered.select("ids")
+        .coalesce(cores)
         .mapInArrow(_contexts(shared, spots), ddl)
         .groupBy("id")
         .agg(*(F.sum(n).alias(n) for n in names))
@@ -239,7 +246,8 @@ def cluster(count: Callable[[np.ndarray], np.ndarray], classes: np.ndarray):
 
 
 def _rare_contexts(shared, spots: int) -> Callable:
-    """(hash, classes around and rest class in one number, times) of words not frequent."""
+    """(hash, times * CODES + code) of words not frequent; a code has the classes around and
+    the rest class."""
 
     def rows(keys: list, codes: list) -> pa.RecordBatch:
         h = np.concatenate(keys) if keys else np.zeros(0, np.int64)
@@ -250,8 +258,7 @@ def _rare_contexts(shared, spots: int) -> Callable:
         return pa.record_batch(
             {
                 "h": pa.array(h[first]),
-                "code": pa.array(code[first].astype(np.int32)),
-                "n": pa.array(np.diff(np.r_[first, len(h)])),
+                "packed": pa.array(np.diff(np.r_[first, len(h)]) * CODES + code[first]),
             }
         )
 
@@ -304,12 +311,13 @@ def _learned(numbered: DataFrame, classes: np.ndarray, hashes: np.ndarray, moves
     gains = spark.createDataFrame(around, "code int, rest int, g array<double>")
     shared = spark.sparkContext.broadcast((classes, hashes))
     rows = numbered.select("ids", "rare").mapInArrow(
-        _rare_contexts(shared, spots), "h bigint, code int, n bigint"
+        _rare_contexts(shared, spots), "h bigint, packed bigint"
     )
     sums = [F.sum(F.col("n") * F.col("g")[k]) for k in range(CLASSES)]
     best = F.array(*sums)
     return stored(
         rows.repartition("h")
+        .select("h", F.pmod("packed", F.lit(CODES)).cast("int").alias("code"), F.expr(f"packed div {CODES}").alias("n"))
         .join(F.broadcast(gains), "code")
         .groupBy("h")
         .agg(F.sum("n").alias("c"), F.max("rest").alias("rest"), best.alias("gain"))
@@ -329,62 +337,73 @@ def held_out(doc_id: Column) -> Column:
     return fold(doc_id, 10) == 0
 
 
-def _placed(part: pa.RecordBatch, classes: np.ndarray):
-    """(numbers, texts' lengths, classes, places of rare words, their counts)."""
-    flat, lengths = _flat(part.column("ids"))
-    kind = _kinds(flat, classes) if len(flat) else flat
-    at = np.flatnonzero(flat < 0)
-    found = part.column("found").to_pylist()
-    sizes = np.array([len(x) for x in found], dtype=np.int64)
-    starts = np.cumsum(sizes) - sizes
-    kinds, counts = np.zeros(int(sizes.sum()) + 1, np.int64), np.zeros(int(sizes.sum()) + 1)
-    for start, entries in zip(starts.tolist(), found, strict=True):
-        for e in entries:
-            kinds[start + e["k"]], counts[start + e["k"]] = e["kind"], e["c"]
-    text = np.repeat(np.arange(len(lengths)), lengths)[at]
-    place = starts[text] + (-1 - flat[at]) // 3
-    # A word of no training document keeps its rest class.
-    kind[at] = np.where(kinds[place] < 0, kind[at], kinds[place])
-    return flat, lengths, kind, at, counts[place]
-
-
-def _transitions(shared) -> Callable:
-    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        moves = np.zeros(ALL * ALL, dtype=np.int64)
-        for part in parts:
-            _, _, kind, _, _ = _placed(part, shared.value)
-            if len(kind):
-                moves += np.bincount(_before(kind) * ALL + kind, minlength=ALL * ALL)
-        used = np.flatnonzero(moves)
-        yield pa.record_batch({"move": pa.array(used), "n": pa.array(moves[used])})
-
-    return count
-
+def _placed(shared) -> Callable:
+    """Texts as their tokens' classes, one byte each, with what needs no class."""
 
-def _scores(shared) -> Callable:
-    def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, own, step, below, class_below, ended = shared.value
+    def place(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, own, ended = shared.value
         for part in parts:
-            flat, lengths, kind, at, counts = _placed(part, classes)
+            flat, lengths = _flat(part.column("ids"))
             if not len(flat):
                 continue
+            kind = _kinds(flat, classes)
+            at = np.flatnonzero(flat < 0)
+            sizes = part.column("k").value_lengths().to_numpy(zero_copy_only=False)
+            starts = np.cumsum(sizes) - sizes
+            entries = np.zeros(int(sizes.sum()) + 1, np.int64)
+            spots = np.repeat(starts, sizes) + part.column("k").flatten().to_numpy()
+            entries[spots] = part.column("v").flatten().to_numpy()
+            text = np.repeat(np.arange(len(lengths)), lengths)[at]
+            entry = entries[starts[text] + (-1 - flat[at]) // 3]
+            counts, learned = entry >> 6, (entry & 63) - 1
+            # A word of no training document keeps its rest class.
+            kind[at] = np.where(learned < 0, kind[at], learned)
             log = own[np.maximum(flat, 0)]
             log[at] = np.log10(counts + ADDED)
             met = (flat >= 0) & ((flat < len(own) - 1) | ended)
             met[at] = counts > 0
-            starts = np.cumsum(lengths) - lengths
-            base = np.add.reduceat(log, starts)
-            moved = np.add.reduceat(step[_before(kind), kind] - class_below[kind], starts)
+            firsts = np.cumsum(lengths) - lengths
+            codes = kind.astype(np.uint8).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
                     part.column("held_out"),
                     pa.array(lengths),
-                    pa.array(np.add.reduceat(met.astype(np.int64), starts)),
-                    pa.array(base - lengths * below),
-                    pa.array(base + moved),
+                    pa.array(np.add.reduceat(met.astype(np.int64), firsts)),
+                    pa.array(np.add.reduceat(log, firsts)),
+                    pa.array([codes[f : f + n] for f, n in zip(firsts, lengths, strict=True)], pa.binary()),
                 ],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "own", "kinds"],
+            )
+
+    return place
+
+
+def _classes_of(part: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(part.column("kinds").to_pylist()), np.uint8).astype(np.int64)
+
+
+def _transitions(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    moves = np.zeros(ALL * ALL, dtype=np.int64)
+    for part in parts:
+        kind = _classes_of(part)
+        if len(kind):
+            moves += np.bincount(_before(kind) * ALL + kind, minlength=ALL * ALL)
+    used = np.flatnonzero(moves)
+    yield pa.record_batch({"move": pa.array(used), "n": pa.array(moves[used])})
+
+
+def _scores(shared) -> Callable:
+    def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step, class_below = shared.value
+        for part in parts:
+            kind = _classes_of(part)
+            lengths = part.column("n_tokens").to_numpy()
+            moved = step[_before(kind), kind] - class_below[kind] if len(kind) else np.zeros(0)
+            sums = np.add.reduceat(moved, np.cumsum(lengths) - lengths) if len(kind) else moved
+            names = ["doc_id", "held_out", "n_tokens", "n_known", "own"]
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(n) for n in names), pa.array(sums)], names=[*names, "moved"]
             )
 
     return score
@@ -449,24 +468,36 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
     for i in range(spots, len(chosen)):
         classes[i] = kind_of.get(int(hashes[i]), classes[i])
 
-    word = F.struct("k", F.coalesce("kind", F.lit(-1)).alias("kind"), F.coalesce("c", F.lit(0)).alias("c"))
+    # Rare words return to their texts as a place and one number, count * 64 + class + 1.
+    found = F.coalesce(F.col("c") * 64 + F.col("kind") + 1, F.lit(0)).cast("long")
     rare = (
         numbered.select("row", F.posexplode("rare").alias("k", "h"))
         .join(learned, "h", "left")
+        .select("row", "k", found.alias("v"))
+        .repartition("row")
         .groupBy("row")
-        .agg(F.collect_list(word).alias("found"))
+        .agg(F.collect_list(F.struct("k", "v")).alias("found"))
     )
+    below = math.log10(tokens + ADDED * (vocabulary + 1))
+    shared = spark.sparkContext.broadcast((classes, own, ends > 0))
     placed = stored(
         numbered.drop("rare")
         .join(rare, "row", "left")
-        .withColumn("found", F.coalesce("found", F.array().cast("array<struct<k:int,kind:int,c:bigint>>"))),
+        .select(
+            "doc_id",
+            "held_out",
+            "ids",
+            F.coalesce("found.k", F.array().cast("array<int>")).alias("k"),
+            F.coalesce("found.v", F.array().cast("array<bigint>")).alias("v"),
+        )
+        .mapInArrow(
+            _placed(shared),
+            "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, own double, kinds binary",
+        ),
         "placed",
     )
-    shared = spark.sparkContext.broadcast(classes)
     moves = np.zeros(ALL * ALL)
-    moved = placed.where("not held_out").select("ids", "found").mapInArrow(
-        _transitions(shared), "move bigint, n bigint"
-    )
+    moved = placed.where("not held_out").select("kinds").mapInArrow(_transitions, "move bigint, n bigint")
     for row in moved.groupBy("move").agg(F.sum("n").alias("n")).collect():
         moves[row["move"]] = row["n"]
     moves = moves.reshape(ALL, ALL)
@@ -477,20 +508,19 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
         kinds[row["kind"]] += row["count"]
     share = (sizes + 1) / (moves.sum() + ALL)
     step = np.log10((moves + PRIOR * share) / (moves.sum(axis=1, keepdims=True) + PRIOR))
-    below = math.log10(tokens + ADDED * (vocabulary + 1))
     class_below = np.log10(sizes + ADDED * (kinds + 1))
-    model = spark.sparkContext.broadcast((classes, own, step, below, class_below, ends > 0))
-    scored = placed.select("doc_id", "held_out", "ids", "found").mapInArrow(
+    model = spark.sparkContext.broadcast((step, class_below))
+    scored = placed.mapInArrow(
         _scores(model),
-        "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double",
-    )
+        "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, own double, moved double",
+    ).withColumn("score", F.col("own") + F.col("moved"))
     return scored.select(
         "doc_id",
         "held_out",
         "n_tokens",
         "n_known",
         F.lit(tokens).cast("long").alias("train_tokens"),
-        "base_score",
+        (F.col("own") - F.col("n_tokens") * below).alias("base_score"),
         "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )
