@@ -16,6 +16,7 @@ are joined on 64-bit hashes.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -84,7 +85,7 @@ def _word_counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _numbered(shared) -> Callable:
-    """Texts as int32 numbers, closed by the end's; a rare word is -1 - 3 * k - its rest
+    """Texts as packed int32 numbers, closed by the end's; a rare word is -1 - 3 * k - its rest
     class, where k is its place among the text's rare hashes."""
 
     def number(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +104,7 @@ def _numbered(shared) -> Callable:
                             k = own.setdefault(word, len(own))
                             found[i] = -1 - 3 * k - (rest_class(word) - REST)
                 found.append(end)
-                ids.append(np.array(found, dtype=np.int32).tobytes())
+                ids.append(_packed(np.array(found, dtype="<i4")))
                 rare.append([_hash(w) for w in own])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -118,11 +119,21 @@ def _numbered(shared) -> Callable:
     return number
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte plane by byte plane, compressed: the high planes are nearly all zero."""
+    return zlib.compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of a batch, one text after another, and the texts' lengths."""
-    values = column.cast(pa.binary()).to_pylist()
-    lengths = np.array([len(v) // 4 for v in values], dtype=np.int64)
-    return np.frombuffer(b"".join(values), dtype=np.int32), lengths
+    texts = [zlib.decompress(v) for v in column.to_pylist()]
+    lengths = np.array([len(t) // 4 for t in texts], dtype=np.int64)
+    flat = np.empty((int(lengths.sum()), 4), dtype=np.uint8)
+    at = 0
+    for t, n in zip(texts, lengths.tolist(), strict=True):
+        flat[at : at + n] = np.frombuffer(t, dtype=np.uint8).reshape(4, n).T
+        at += n
+    return flat.reshape(-1).view("<i4"), lengths
 
 
 def _kinds(flat: np.ndarray, classes: np.ndarray) -> np.ndarray:
