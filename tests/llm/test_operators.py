@@ -386,6 +386,18 @@ def test_mixing_thins_a_domain_instead_of_removing_it(spark):
     assert tokens[True] / tokens.total() == pytest.approx(0.03, abs=0.01)
 
 
+def test_mix_keeps_columns_of_any_name(spark):
+    """Columns named like the operator's own come back as they were, with their order."""
+    names = ["copies", "rate", "p", "tokens", "text_hash", "_doc", "_mix", "_copy"]
+    rows = [(i, "vile spite" if i % 8 == 0 else "good calm", *(f"{n}{i}" for n in names)) for i in range(80)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    labels = spark.createDataFrame([(i, 1, int(i % 8 == 0)) for i in range(80)], "doc_id long, quality int, toxic int")
+    out = mixing.mix(frame, labels, {"q1t0": 0.9, "q1t1": 0.1})
+    assert out.columns == frame.columns
+    kept = {tuple(r) for r in out.collect()}
+    assert kept and kept <= set(rows)
+
+
 def test_brown_base(docs, empty):
     found = brown.score(docs).collect()
     rows = [(i, _words(_lower(t))) for i, t in _texts()]
