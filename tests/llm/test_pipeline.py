@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline
 from hourgrid.llm import bpe, jaccard, quality, simhash
 
@@ -105,3 +108,76 @@ def test_near_copies_in_small_cells(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept) == sorted(set(group.values()))
     assert all(r._rank == "a" and r.won_id == 1 for r in kept)
     assert 1 < len(kept) < 90
+
+
+def _plain_print(hashes: list[int]) -> int:
+    """SimHash, bit by bit: bit b of the fingerprint, from its first byte's highest bit."""
+    top, ones = 2**64 - 1, [0] * jaccard.BITS
+    for h in hashes:
+        for w, word in enumerate(jaccard._WORDS.tolist()):
+            x = h ^ word
+            for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+                x = (x ^ x >> 33) * factor & top
+            x ^= x >> 33
+            for i, byte in enumerate(x.to_bytes(8, "little")):
+                for b in range(8):
+                    ones[64 * w + 8 * i + b] += byte >> 7 - b & 1
+    return sum(1 << len(ones) - 1 - b for b, n in enumerate(ones) if 2 * n > len(hashes))
+
+
+def _print(text: str) -> np.ndarray:
+    return jaccard.fingerprint(jaccard.shingles(text.encode())).view(np.uint64)
+
+
+def test_near_dedup_meets_by_simhash(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(100):
+        words = rng.choices([f"w{k}" for k in range(400)], k=rng.randint(12, 320))
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[: len(words) * 7 // 8]))]
+    docs = spark.createDataFrame([*rows, (200, None)], "doc_id long, text string")
+    found = {r.doc_id: r for r in jaccard.sketches(docs).collect()}
+    for i in (0, 7, 200):
+        hashes = jaccard.shingles((dict(rows).get(i) or "").encode()).tolist()
+        assert int.from_bytes(found[i].print, "big") == _plain_print(hashes)
+        assert found[i].n == len(hashes)
+    alike = 0
+    for (_, a), (_, b) in zip(rows[::2], rows[1::2], strict=True):
+        if _alike(a, b) >= 0.8:
+            alike += 1
+            x, y = _print(a), _print(b)
+            assert (x.view(np.uint16) == y.view(np.uint16)).any()
+            assert np.bitwise_count(x[:2] ^ y[:2]).sum() <= jaccard.NEAR_BITS
+            assert np.bitwise_count(x ^ y).sum() <= jaccard.FAR_BITS
+    assert alike > 50
+
+
+def test_neighbours_under_segments(monkeypatch):
+    monkeypatch.setattr(jaccard, "_AT_ONCE", 50)
+    monkeypatch.setattr(jaccard, "RUN_LIMIT", 40)
+    rng = np.random.default_rng(3)
+    # Segment 4 is longer than a block, segment 7 is long, segment 1 has one text.
+    segment = np.repeat(np.arange(9), [20, 1, 30, 0, 130, 12, 3, 45, 16]).astype(np.int32)
+    key = rng.permutation(len(segment)).astype(np.int64)
+    bits = rng.integers(-(1 << 63), (1 << 63) - 1, (len(segment), 2))
+    for i in range(0, len(segment), 3):
+        bits[i] = bits[rng.integers(0, len(segment))] ^ (np.int64(1) << rng.integers(0, 60, 2))
+    whole = bits.view(np.uint64).tolist()
+    rows = pa.record_batch({"segment": segment, "key": key, "a": bits[:, 0], "b": bits[:, 1]})
+    parts = [rows.slice(i, 7) for i in range(0, len(segment), 7)]
+    bands: dict = {}
+    for part in jaccard._neighbours(iter(parts)):
+        for row in part.to_pylist():
+            bands.setdefault(row["band"], set()).add(row["key"])
+    group = {(s, k): {k} for s, k in zip(segment.tolist(), key.tolist(), strict=True)}
+    for i in range(len(segment)):
+        for j in range(i):
+            apart = sum((x ^ y).bit_count() for x, y in zip(whole[i], whole[j], strict=True))
+            long = segment[i] in (4, 7)
+            if segment[i] == segment[j] and (long or apart <= jaccard.NEAR_BITS):
+                both = group[segment[i], key[i]] | group[segment[j], key[j]]
+                for k in both:
+                    group[segment[i], k] = both
+    wanted = {(s, frozenset(g)) for (s, _), g in group.items() if len(g) > 1}
+    assert sorted(sorted(g) for g in bands.values()) == sorted(sorted(g) for _, g in wanted)
+    assert len(wanted) > 5
