@@ -181,3 +181,61 @@ def test_neighbours_under_segments(monkeypatch):
     wanted = {(s, frozenset(g)) for (s, _), g in group.items() if len(g) > 1}
     assert sorted(sorted(g) for g in bands.values()) == sorted(sorted(g) for _, g in wanted)
     assert len(wanted) > 5
+
+
+def test_pairs_grow_with_texts(spark, monkeypatch):
+    # A group whose segments have many hubs: a pair for each text and hub would be many rows.
+    rng = random.Random(10)
+    base = [f"w{rng.randint(0, 900)}" for _ in range(60)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.randint(1, 4)):
+            words[rng.randrange(60)] = f"x{rng.randint(0, 50)}"
+        rows.append((i, " ".join(words)))
+    group = {i: i for i, _ in rows}
+    for a, text in rows:
+        for b, other in rows[:a]:
+            if group[a] != group[b] and _alike(text, other) >= 0.8:
+                low, high = sorted((group[a], group[b]))
+                group = {k: low if g == high else g for k, g in group.items()}
+    counts = []
+    attached = jaccard._attached
+
+    def counted(pairs, *rest):
+        out = attached(pairs, *rest)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_attached", counted)
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(group.values()))
+    assert 0 < sum(counts) <= 2 * len(rows)
+
+
+def test_cell_links_meet_hubs(monkeypatch):
+    rng = random.Random(11)
+    base = [f"w{rng.randint(0, 900)}" for _ in range(60)]
+    texts = [" ".join([*base[:57], *(f"y{i}{k}" for k in range(3))]) for i in range(6)]
+    sets = [jaccard.shingles(t.encode()) for t in texts]
+    sizes = np.array([len(x) for x in sets])
+    keys = np.arange(10, 16)
+    # Texts 4 and 5 are one group, named 3; text 2 is the hub.
+    parts = np.array([10, 11, 12, 13, 3, 3])
+    prints = np.stack([_print(t) for t in texts])
+    assert min(_alike(texts[2], t) for t in texts) >= 0.8
+
+    def found(far: int, hub: int, side: list[int]) -> set:
+        monkeypatch.setattr(jaccard, "FAR_BITS", far)
+        is_hub = (np.arange(6) == hub).astype(np.int8)
+        cell = (keys, sizes, parts, np.array(side, np.int32), is_hub, prints, np.concatenate(sets))
+        out = jaccard._cell_links([tuple(c.copy() for c in cell)])
+        return {(r["key"], r["other"]) for part in out for r in part.to_pylist()}
+
+    # However far their fingerprints are, all meet the hub.
+    assert found(-1, 9, [2] * 6) == set()
+    assert found(-1, 2, [2] * 6) == {(10, 12), (11, 12), (12, 13), (3, 12)}
+    assert found(-1, 2, [0, 0, 1, 1, 1, 1]) == {(10, 12), (11, 12)}
+    assert found(-1, 0, [0, 0, 1, 1, 1, 1]) == {(10, 12), (10, 13), (3, 10)}
+    # Of each two groups one link, named by the groups.
+    assert found(2048, 9, [2] * 6) == {(10, 11), (10, 12), (10, 13), (3, 10)}
